@@ -6,19 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import mixing, simhash
+from plumbline.llm import html, langid, media, mixing, simhash
 from plumbline.llm.common import documents
 
 
+def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.features(media.media(documents(spark, sf_dir)))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, sf_dir))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(documents(spark, sf_dir))
+
+
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op5_mixing": op5_mixing, "op10_simhash": op10_simhash}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_media": op1_media,
+    "op5_mixing": op5_mixing,
+    "op8_langid": op8_langid,
+    "op9_html": op9_html,
+    "op10_simhash": op10_simhash,
+}
 
 #: DuckDB text for what SQL can express; the other queries have brute-force tests.
 ORACLE_SQL: dict[str, str] = {}
