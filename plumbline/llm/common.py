@@ -64,6 +64,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of an installed public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if its counted rows are within the bound."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import html, langid, media, mixing, simhash
-from plumbline.llm.common import documents
+from plumbline.llm import bpe, html, langid, media, mixing, simhash, tokenfile
+from plumbline.llm.common import documents, tokenizer_file
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.features(media.media(documents(spark, sf_dir)))
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), "digests")
+
+
+def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.written_and_read(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), end_id=2)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, sf_dir))
 
@@ -32,6 +40,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
+    "op2_bpe": op2_bpe,
+    "op4_token_file": op4_token_file,
     "op5_mixing": op5_mixing,
     "op8_langid": op8_langid,
     "op9_html": op9_html,
