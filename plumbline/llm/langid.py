@@ -100,14 +100,15 @@ def fit(labelled: DataFrame, smoothing: float = 0.5, max_train: int = MAX_TRAIN)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(at) + 1)), pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(own[at], docs[lang]), pa.int64())], names=["lang", "bucket", "n"])
 
     sums = rows.select("text", "lang").mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    got = sums.toPandas()
-    languages = sorted(got.lang.unique())
+    got = sums.toArrow()
+    names = np.array(got.column("lang").to_pylist(), object)
+    bucket, number = got.column("bucket").to_numpy(), got.column("n").to_numpy()
+    languages = sorted(set(names))
     counts, docs = np.zeros((DIM, len(languages))), np.ones(len(languages))
     for j, lang in enumerate(languages):
-        own = got[got.lang == lang]
-        grams = own[own.bucket >= 0]
-        counts[grams.bucket.to_numpy(), j] = grams.n.to_numpy()
-        docs[j] = own[own.bucket < 0].n.iloc[0]
+        own = names == lang
+        counts[bucket[own & (bucket >= 0)], j] = number[own & (bucket >= 0)]
+        docs[j] = number[own & (bucket < 0)][0]
     weights = np.log((counts + smoothing) / (counts.sum(0) + smoothing * DIM)) if languages else counts
     return LanguageModel(languages, weights.astype(np.float32), np.log(docs / docs.sum()))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, html, langid, media, mixing, simhash, tokenfile
+from plumbline.llm import bpe, html, langid, media, mixing, quality, secrets, simhash, tokenfile
 from plumbline.llm.common import documents, tokenizer_file
 
 
@@ -18,6 +18,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), "digests")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secrets.scan(docs, secrets.trained(docs))
+
+
 def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.written_and_read(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), end_id=2)
 
@@ -26,6 +31,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, sf_dir))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(documents(spark, sf_dir))
 
@@ -41,8 +50,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_bpe": op2_bpe,
+    "op3_secrets": op3_secrets,
     "op4_token_file": op4_token_file,
     "op5_mixing": op5_mixing,
+    "op7_quality": op7_quality,
     "op8_langid": op8_langid,
     "op9_html": op9_html,
     "op10_simhash": op10_simhash,
