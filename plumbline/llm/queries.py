@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, html, langid, media, mixing, quality, secrets, simhash, tokenfile
+from plumbline.llm import bpe, html, langid, media, mixing, neighbours, quality, secrets, simhash, tokenfile
 from plumbline.llm.common import documents, tokenizer_file
 
 
@@ -31,6 +31,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(documents(spark, sf_dir))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": op3_secrets,
     "op4_token_file": op4_token_file,
     "op5_mixing": op5_mixing,
+    "op6_neighbours": op6_neighbours,
     "op7_quality": op7_quality,
     "op8_langid": op8_langid,
     "op9_html": op9_html,
