@@ -22,12 +22,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``(a, b)`` links between long ids to ``(id, root)`` for every linked id; root is the least id reached.
+    """``(a, b)`` links between ids of one orderable type to ``(id, root)`` for every linked id; root is the least id reached.
 
     Each round shuffles at most the links that are left and is written to the shared folder. Null
     ends and self-links are ignored; repeated links count once; no links give an empty table.
     """
-    now = written(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b").distinct(), "links")
+    now = written(edges.select("a", "b").filter("a <> b").distinct(), "links")
     mark = _mark(now)
     while mark[0]:
         now = written(_small_star(_large_star(now)).distinct(), "stars")
