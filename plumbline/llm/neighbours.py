@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import Batches, ship, written
 
 #: Neighbours of a node; sampled neighbours of each kind in a round; pairs kept per neighbour and group.
-DEGREE, SAMPLE, KEEP = 24, 16, 4
+DEGREE, SAMPLE, KEEP = 32, 20, 4
 #: First graph: so many orders by random half-spaces, cut into runs that are compared within.
 ORDERS, RUN = 4, 64
-ROUNDS, ENOUGH = 6, 0.02
+ROUNDS, ENOUGH = 9, 0.03
 #: Search: entry points drawn from all nodes, candidates held and expanded at once per query.
-ENTRIES, BEAM, STEP, HOPS = 256, 96, 24, 12
+ENTRIES, BEAM, STEP, HOPS = 256, 200, 40, 12
 
 EDGE = "id long, nb long, sim float"
 _EDGE = [("id", pa.int64()), ("nb", pa.int64()), ("sim", pa.float32())]
@@ -143,7 +143,8 @@ def descend(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """One round: neighbours of neighbours are compared, and each node keeps its nearest."""
     kinds = both_ways(edges.select("id", "nb", "fresh")).repartition("id").groupBy("id", "nb").agg(F.max("fresh").alias("fresh"))
     draw = F.row_number().over(Window.partitionBy("id", "fresh").orderBy(F.xxhash64("id", "nb"), "nb"))
-    members = kinds.withColumn("draw", draw).filter(F.col("draw") <= SAMPLE).drop("draw")
+    moving = F.max("fresh").over(Window.partitionBy("id"))  # a group without a fresh member has nothing to compare
+    members = kinds.withColumns({"draw": draw, "moving": moving}).filter((F.col("draw") <= SAMPLE) & F.col("moving")).drop("draw", "moving")
     least = edges.groupBy("id").agg(F.when(F.count("*") >= DEGREE, F.min("sim")).otherwise(F.lit(-2.0)).alias("least"))
     known = nodes.join(least, "id", "left").select(F.col("id").alias("nb"), "unit", F.coalesce("least", F.lit(-2.0)).cast("float").alias("least"))
     met = members.join(known, "nb").repartition("id").sortWithinPartitions("id")
