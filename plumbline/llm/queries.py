@@ -67,3 +67,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB text for what SQL can express; the other queries have brute-force tests.
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op5_mixing"] = r"""
+with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text,''), '[^\x20\x09-\x0D]+')) as bigint) size,
+    cast(('0x'||substr(md5(coalesce(cast(doc_id as varchar),'')),1,15))::bigint as bigint) place from documents),
+s as (select source, cast(sum(size) as bigint) source_size from d group by 1),
+w as (select *, [5.0::double,2.0,1.0][(row_number() over (order by source nulls last)-1)%3+1] weight, source_size*3.0::double lim from s),
+l as (select *, ((select sum(source_size) from w)-coalesce(sum(lim) over b,0)) / ((select sum(weight) from w)-coalesce(sum(weight) over b,0)) lev from w
+    window b as (order by lim/weight, source nulls last rows between unbounded preceding and 1 preceding)),
+t as (select source, source_size, least(lim, (select max(lev) from l where lim>=lev*weight)*weight) target from l),
+n as (select *, case when source_size>0 then cast(floor(target/source_size) as bigint) else 0 end times from t),
+m as (select *, target-times*source_size need from n),
+g as (select d.source, place, sum(size) words, any_value(need) need from d join m on d.source is not distinct from m.source group by 1,2),
+c as (select *, sum(words) over (partition by source order by place) upto from g),
+k as (select source, arg_min(place + case when words-(need-upto+words) < need-upto+words then 1 else 0 end, place) cut from c where need>0 and upto>=need group by 1)
+select doc_id, size, source_size, target, cast(size*(times+case when place < coalesce(cut, case when need>0 then 1152921504606846976 else 0 end) then 1 else 0 end) as bigint) taken
+from d join m on d.source is not distinct from m.source left join k on d.source is not distinct from k.source
+"""
