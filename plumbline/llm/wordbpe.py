@@ -67,10 +67,10 @@ class WordEncoder:
         return word[1:] if word[:1] == FIRST else f" {word}"
 
     def _learn(self, words: set[str]) -> None:
-        new = words - self.known.keys()
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = words
+            new = list(words)
         named = []
         for w in new:
             if w in ("", "\n", FIRST):
