@@ -151,8 +151,8 @@ def encoded_pieces(encoder: WordEncoder, texts: list[str]) -> Iterator[tuple[byt
             yield ids, e[0], e[1], len(head) // encoder.dtype.itemsize, len(tail) // encoder.dtype.itemsize
 
 
-PIECE = [("uid", pa.int64()), ("doc_id", pa.int64()), ("seq", pa.int32()), ("h", pa.int64()), ("text", pa.string()), ("ids", pa.binary()), ("head", pa.string()), ("tail", pa.string()), ("n_head", pa.int32()), ("n_tail", pa.int32())]
-PIECE_SCHEMA = "uid long, doc_id long, seq int, h long, text string, ids binary, head string, tail string, n_head int, n_tail int"
+PIECE = [("uid", pa.int64()), ("doc_id", pa.int64()), ("seq", pa.int32()), ("h", pa.int64()), ("text", pa.string()), ("raw", pa.binary()), ("head", pa.string()), ("tail", pa.string()), ("n_head", pa.int32()), ("n_tail", pa.int32())]
+PIECE_SCHEMA = "uid long, doc_id long, seq int, h long, text string, raw binary, head string, tail string, n_head int, n_tail int"
 
 Finish = Callable[[WordEncoder, bytes], tuple]
 
@@ -226,8 +226,8 @@ def encode(docs: DataFrame, tokenizer: str, result: str = "ids") -> DataFrame:
             yield _batch(rows, [PIECE[3], *PIECE[5:]])
 
     sent = pieces.filter("h is not null")
-    once = written(sent.filter("text is not null").groupBy("h").agg(F.min("text").alias("text")).mapInArrow(encoded, "h long, ids binary, head string, tail string, n_head int, n_tail int"), "shared")
-    parts = ["uid", "doc_id", "seq", "ids", "head", "tail", "n_head", "n_tail"]
+    once = written(sent.filter("text is not null").groupBy("h").agg(F.min("text").alias("text")).mapInArrow(encoded, "h long, raw binary, head string, tail string, n_head int, n_tail int"), "shared")
+    parts = ["uid", "doc_id", "seq", "raw", "head", "tail", "n_head", "n_tail"]
     joined = sent.select("uid", "doc_id", "seq", "h").join(once, "h").select(parts).unionByName(pieces.filter("h is null and seq is not null").select(parts))
 
     def repaired(batches: Batches) -> Batches:
