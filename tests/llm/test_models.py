@@ -1,0 +1,135 @@
+"""Trained operators: held-out accuracy on the sample, and odd tables."""
+
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from plumbline.llm import langid, neighbours, quality, secrets
+from plumbline.llm.common import documents
+
+SAMPLE = "/root/testdata/sf0.01"
+
+
+def test_language_held_out_accuracy(spark):
+    docs = documents(spark, SAMPLE)
+    rows = langid.identified(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out and lang is not null").collect()
+    assert len(rows) > 100 and sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_of_odd_texts(spark):
+    docs = spark.createDataFrame([(1, "hello and the of", "en"), (2, "le la des une", "fr"), (3, None, "en"), (4, "", "en"), (5, "12 ?! \n", "fr"), (None, "the of and", None), (6, "LE LA! " * 50_000, None), (6, "x", None)], "doc_id long, text string, lang string")
+    got = [(r.doc_id, r.lang_pred, r.score) for r in langid.predict(docs, langid.fit(docs)).collect()]
+    assert len(got) == 8
+    assert all((lang == "und") == (d in (3, 4, 5)) for d, lang, _ in got)
+    assert ("fr" in [lang for d, lang, _ in got if d == 6]) and all(0 <= s <= 1 for *_, s in got)
+    assert {r.lang_pred for r in langid.identified(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    assert langid.identified(docs.limit(0)).count() == 0
+
+
+def test_counts_dont_depend_on_partitions(spark):
+    docs = documents(spark, "/root/testdata/sf0.001")
+    one, two = langid.fit(docs), langid.fit(docs.repartition(7))
+    assert one.languages == two.languages and np.array_equal(one.weights, two.weights)
+
+
+def test_quality_held_out_accuracy(spark):
+    docs, labels = documents(spark, SAMPLE), spark.read.parquet(f"{SAMPLE}/labels.parquet")
+    rows = quality.rated(docs, labels)
+    assert rows.count() == docs.count()
+    held = rows.join(labels, "doc_id").filter("held_out and quality is not null").collect()
+    assert sum(r.predicted == r.quality for r in held) / len(held) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in held)
+
+
+def test_factorisation_identity():
+    rng = np.random.default_rng(1)
+    m = quality.FactorizationMachine(0.3, rng.normal(size=quality.WORD_INPUTS + quality.STATISTICS), rng.normal(size=(quality.WORD_INPUTS + quality.STATISTICS, 3)))
+    at, value = np.array([1, 5, 9, 40]), np.array([0.5, 2.0, -1.0, 0.25])
+    pairs = sum(m.factors[at[i]] @ m.factors[at[j]] * value[i] * value[j] for i in range(4) for j in range(i))
+    assert m.raw(at, value, np.zeros(4, int), 1)[0][0] == pytest.approx(0.3 + m.weights[at] @ value + pairs)
+
+
+def test_quality_of_odd_tables(spark):
+    docs = spark.createDataFrame([(1, None, None, "k"), (2, "", 0, "k"), (2, "word " * 200_000, 5, "k"), (None, "a b", 3, "k")], "doc_id long, text string, n_chars long, score string").withColumnRenamed("score", "row")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (9, None), (77, 1)], "doc_id long, quality int")
+    got = quality.rated(docs, labels).collect()
+    assert len(got) == 4 and all(0 <= r.score <= 1 for r in got)
+    assert quality.score(docs, quality.fit(docs, labels)).columns == ["doc_id", "text", "n_chars", "row", "score", "predicted"]
+    assert quality.rated(docs.limit(0), labels).count() == 0
+    assert len({r.score for r in quality.rated(docs.filter("doc_id = 1"), labels.limit(0)).collect()}) == 1
+
+
+KEY = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f"
+CASES = [
+    (1, f'start token = "{KEY}" end', [f"{KEY}"]), (2, "card 4929123456781234 and mail ann.52@mail6.example.com", []), (3, f"commit {KEY} of src/main/java/file12345.java", []),
+    (4, None, []), (5, "", []), (6, f'x\x01y token = "{KEY}" z' + ' and token = "0b96a8c8d79c4a5085c919698889f59b72ab7bb6"', [KEY, "0b96a8c8d79c4a5085c919698889f59b72ab7bb6"]),
+    (7, "é" * 200_000 + f' token = "{KEY}" ', [KEY]), (7, "plain words only", []), (None, f'secret: "{KEY}"', [KEY]),
+]
+
+
+@pytest.fixture(scope="module")
+def trees(spark):
+    return secrets.trained(documents(spark, SAMPLE))
+
+
+def test_secrets_are_found_and_others_left(spark, trees):
+    docs = spark.createDataFrame([(d, t, "clash") for d, t, _ in CASES], "doc_id long, text string, parts string")
+    got = secrets.scan(docs, trees).collect()
+    texts = [(t or "").replace("\x01", " ") for _, t, _ in CASES]
+    for r, (d, _, found), text in zip(got, CASES, texts, strict=True):
+        assert r.doc_id == d and [f.value for f in r.findings] == found and r.n_findings == len(found)
+        assert all(text[f.start : f.start + f.length] == f.value for f in r.findings)
+    clean = secrets.redacted(docs.withColumn("n_chars", F.lit(1).cast("long")), trees).collect()
+    assert clean[0].text == 'start token = "[SECRET]" end' and clean[0].n_chars == len(clean[0].text)
+    assert clean[1].text == CASES[1][1] and clean[1].n_chars == 1 and clean[3].text is None
+    assert secrets.scan(docs.limit(0), trees).count() == 0
+
+
+def test_secrets_planted_in_the_sample(spark, trees):
+    docs = documents(spark, SAMPLE)
+    found = {r.doc_id: {f.start for f in r.findings} for r in secrets.scan(docs, trees).collect()}
+    for r in docs.collect():
+        assert found[r.doc_id] == {m.start(1) for m in re.finditer('(?i)token = "([0-9a-f]{40})"', r.text or "")}
+
+
+def test_training_is_repeatable(spark, trees):
+    assert secrets.trained(documents(spark, SAMPLE).repartition(5)) == trees
+
+
+def exact(vectors, wanted, k):
+    out = {}
+    for q in wanted:
+        a = vectors[q]
+        score = sorted((-float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b))), i) for i, b in vectors.items() if i != q)
+        out[q] = [i for _, i in score[:k]]
+    return out
+
+
+def test_neighbours_recall(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 24))
+    vectors = {i: np.float32(centres[i % 20] + rng.normal(size=24) * 0.7).astype(np.float64) for i in range(900)}
+    df = spark.createDataFrame([(i, v.tolist(), 1, 2) for i, v in vectors.items()], "vec_id long, embedding array<double>, id int, unit int").withColumn("embedding", F.col("embedding").cast("array<float>"))
+    got = neighbours.nearest(df, df.filter("vec_id % 30 = 0")).collect()
+    truth = exact(vectors, range(0, 900, 30), 5)
+    hits = sum(r.vec_id in truth[r.query_id] for r in got)
+    assert len(got) == 150 and hits / 150 >= 0.9
+    for r in got:
+        a, b = vectors[r.query_id], vectors[r.vec_id]
+        assert r.score == pytest.approx(float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b))), abs=1e-12)
+
+
+def test_neighbours_of_copies_ties_and_bad_vectors(spark):
+    same = [1.0, 0.0, 0.0]
+    rows = [(i, same) for i in range(100, 130)] + [(0, same), (50, [0.0, 1.0, 0.0]), (1, None), (2, [0.0, 0.0, 0.0]), (3, [1.0, None, 0.0]), (4, [float("nan"), 1.0, 0.0]), (5, [float("inf"), 1.0, 0.0]), (6, [1.0, 2.0]), (7, [2.0, 1e-3, 0.0]), (None, same), (0, same)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, df.filter("vec_id % 50 = 0")).orderBy("query_id", "rank").collect()
+    by = {q: [r.vec_id for r in got if r.query_id == q] for q in {r.query_id for r in got}}
+    assert by[0] == [100, 101, 102, 103, 104] and by[100] == [0, 101, 102, 103, 104]
+    assert by[50] == [7, 0, 100, 101, 102] and set(by) == {0, 50, 100}
+    assert neighbours.nearest(df.limit(0), df).count() == 0
+    one = df.filter("vec_id = 50")
+    assert neighbours.nearest(one, one).count() == 0
