@@ -13,6 +13,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import written
+
 MARK = "\u0001"
 REDACTED = "[SECRET]"
 TOKEN = r"A-Za-z0-9_+/=.\-"
@@ -131,7 +133,8 @@ def labelled_findings(docs: DataFrame, max_rows: int = MAX_TRAIN) -> DataFrame:
     secret = (f["credential_near"] == 1) & (f["quoted"] == 1) & (f["number"] == 0) & (f["dictionary"] < 0.4)
     harmless = (f["number"] == 1) | F.col("before").endswith("@") | (f["dictionary"] > 0.7)
     sure = own.withColumn("label", F.when(secret, 1).when(harmless, 0)).filter("label is not null").distinct()
-    return fixed.unionByName(sure.orderBy("draw", "value", "before", "after").limit(max_rows).drop("draw"))
+    drawn = written(sure.orderBy("draw", "value", "before", "after").limit(max_rows).drop("draw"), "labelled")  # training reads them again and again
+    return fixed.unionByName(drawn)
 
 
 def forest(findings: DataFrame) -> list[dict]:
