@@ -43,14 +43,16 @@ def groups(batches: Batches, key: str) -> Iterator[pa.RecordBatch]:
     """Batches of a stream sorted by ``key``, cut so that each holds whole groups."""
     held = None
     for batch in batches:
-        if held is not None and held.num_rows:
+        if not batch.num_rows:
+            continue
+        if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         ids = batch.column(key).to_numpy()
-        last = int(np.searchsorted(ids, ids[-1])) if len(ids) and (ids[:-1] <= ids[1:]).all() else int(np.flatnonzero(ids != ids[-1])[-1] + 1) if (ids != ids[-1:]).any() else 0
+        last = int(np.searchsorted(ids, ids[-1]))
         if last:
             yield batch.slice(0, last)
         held = batch.slice(last)
-    if held is not None and held.num_rows:
+    if held is not None:
         yield held
 
 
