@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, maybe_broadcast, small_batches, texts_of, written
+from plumbline.llm.common import Batches, small_batches, texts_of, written
 from plumbline.llm.components import components
 from plumbline.llm.simhash import BITS, majority, shards, shingle_hashes
 
@@ -134,7 +134,7 @@ def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float =
         more, some = pairs.agg(F.count_if(F.col("a").isNull()), F.count("a")).first()
         if some:
             needed = written(pairs.filter("a is not null").select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes.select("key", "rep"), "key"), "needed")
-            rows = texts.join(maybe_broadcast(needed.withColumnRenamed("key", "k")), F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("key") == F.col("k")))
+            rows = texts.join(needed.withColumnRenamed("key", "k"), F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("key") == F.col("k")))
             sets = written(_sets(rows.select("key", "text"), shingle_words).dropDuplicates(["key"]), "sets")
             both = pairs.filter("a is not null").join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
             shared = F.size(F.array_intersect("x", "y"))
