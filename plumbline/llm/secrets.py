@@ -25,6 +25,8 @@ CANDIDATE = (
     rf"|(?<![{TOKEN}])(?=[A-Za-z_+/=.\-]{{0,64}}[0-9])[{TOKEN}]{{16,}}+"
     rf"|(?<=[\"'])(?<=(?i:{CREDENTIAL})\s{{0,3}}[:=]\s{{0,3}}[\"'])[^\s\"']{{8,64}}(?=[\"'])"
 )
+#: Every candidate has a digit, a quotation mark before it, or this header; other texts aren't cut at all.
+POSSIBLE = "[0-9\"']|-----BEGIN"
 NEAR = 60
 #: Labelled findings learned from at most, besides the fixed ones: those with the least hash.
 MAX_TRAIN = 4_000
@@ -106,8 +108,9 @@ def features(value: Column, before: Column, after: Column) -> dict[str, Column]:
 
 def parts(text: Column) -> Column:
     """Plain and candidate parts in turn, the first one plain; joined again they are the text (its mark characters as blanks)."""
-    clean = F.translate(F.coalesce(text, F.lit("")), MARK, " ")
-    return F.split(F.regexp_replace(clean, CANDIDATE, f"{MARK}$0{MARK}"), MARK)
+    whole = F.coalesce(text, F.lit(""))
+    cut = F.split(F.regexp_replace(F.translate(whole, MARK, " "), CANDIDATE, f"{MARK}$0{MARK}"), MARK)
+    return F.when(whole.rlike(POSSIBLE), cut).otherwise(F.array(whole))
 
 
 def candidates(parts: Column) -> Column:
@@ -125,9 +128,11 @@ def labelled_findings(docs: DataFrame, max_rows: int = MAX_TRAIN) -> DataFrame:
     of mail addresses and values made of dictionary words aren't. Other candidates aren't labelled.
     """
     spark = docs.sparkSession
-    fixed = spark.createDataFrame(LABELLED, "before string, value string, after string, label int")
-    cut = docs.select(parts(F.col("text")).alias("parts")).filter(F.size("parts") > 1)
-    own = cut.select(F.explode(candidates(F.col("parts"))).alias("x")).select("x.before", "x.value", "x.after")
+    names = ("before", "value", "after", "label")
+    fixed = spark.range(1).select(F.inline(F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(names, row, strict=True))) for row in LABELLED))))
+    cut = docs.select(parts(F.col("text")).alias("parts"))
+    # the outer form: for the other one Spark adds filters that would cut each text again
+    own = cut.select(F.explode_outer(candidates(F.col("parts"))).alias("x")).filter("x is not null").select("x.before", "x.value", "x.after")
     own = own.withColumn("draw", F.pmod(F.xxhash64("value", "before", "after"), F.lit(1_000_003)))
     f = features(F.col("value"), F.col("before"), F.col("after"))
     secret = (f["credential_near"] == 1) & (f["quoted"] == 1) & (f["number"] == 0) & (f["dictionary"] < 0.4)
