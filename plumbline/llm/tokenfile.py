@@ -32,6 +32,8 @@ def width_of(vocabulary: int) -> int:
 
 def pack(ids: np.ndarray, width: int) -> bytes:
     """Ids as consecutive ``width``-bit numbers, lowest bit first, zero bits up to a whole byte."""
+    if width % 8 == 0:
+        return np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)[:, : width // 8].tobytes()
     bits = np.unpackbits(np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4), axis=1, count=width, bitorder="little")
     return np.packbits(bits, bitorder="little").tobytes()
 
@@ -42,6 +44,10 @@ def unpack(packed: bytes, width: int, start: int, stop: int) -> np.ndarray:
         return np.empty(0, np.uint32)
     first, last = start * width // 8, -(-stop * width // 8)
     raw = np.frombuffer(packed, np.uint8, last - first, first)
+    if width % 8 == 0:
+        whole = np.zeros((stop - start, 4), np.uint8)
+        whole[:, : width // 8] = raw.reshape(stop - start, -1)
+        return whole.view("<u4").ravel()
     bits = np.unpackbits(raw, bitorder="little")[start * width - first * 8 :][: (stop - start) * width].reshape(-1, width)
     full = np.zeros((stop - start, 32), np.uint8)
     full[:, :width] = bits
