@@ -1,30 +1,67 @@
-"""Groups of near copies by shingle similarity: SimHash shards propose pairs, shingle sets decide.
+"""Groups of near copies by shingle similarity: shared rare shingles propose pairs, shingle sets decide.
 
 Used where copies are to be dropped: links are pairs whose sets of five-word shingles have a Jaccard
-similarity of at least 0.8. The fingerprints are those of ``simhash`` over the distinct single words,
-which few edits disturb least; eight vantage-point trees propose every pair within seven bits, and
-nearly all within ten. In a dense group most such pairs aren't similar enough, so each text also has a
-signature of 128 one-byte minima of its shingles: a pair that agrees in under 65 % of them isn't
-proposed. At a similarity of 0.8 that passes over one pair in some 80,000.
+similarity of at least 0.8. Two such sets share one of the first ``n - ceil(0.8 n) + 1`` shingles in any
+order common to all texts, so texts that share one of these are compared, and no such pair is passed over.
+The order puts rare shingles first, by counts of a bounded sample; it decides the work only, never the
+result. Of the pairs proposed, those go at once whose sizes or parity bits (a lower bound of the number of
+shingles that only one of them has) already exclude the similarity; whole shingle sets decide on the rest.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import Batches, small_batches, texts_of, written
 from plumbline.llm.components import components
-from plumbline.llm.simhash import BITS, majority, shards, shingle_hashes
-
-BLOCKS, NEAR = 8, 10
-SLOTS, LEAST_AGREEING = 128, 0.65
-_ODD = np.random.default_rng(31).integers(0, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Pairs proposed per document and shard in the first round; each later round proposes up to four times as many
+from plumbline.llm.simhash import shingle_hashes
+
+#: Texts whose shingles are counted for the order, and places of the counts; less than LEAST counts as rare.
+SAMPLE, PLACES, LEAST = 8_000, 1 << 21, 3
+#: Parity bits of a text's shingles, in 64-bit words.
+WORDS = 16
+#: Texts of one block: those that share a shingle are compared by pairs of blocks, each in a task of its own.
+BLOCK = 1_000
+#: Pairs proposed per document and pair of blocks in the first round; each later round proposes up to four times as many
 #: of those that still lie in different groups, until none is left.
-FIRST = 4
+FIRST = 2
+
+
+def _common(texts: DataFrame, shingle_words: int) -> np.ndarray:
+    """How often the shingles of each place occur in about SAMPLE texts."""
+
+    def run(batches: Batches) -> Batches:
+        counts = np.zeros(PLACES, np.int64)
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, shingle_words)) for t in texts_of(batch)]
+            counts += np.bincount((np.concatenate([np.empty(0, np.uint64), *sets]) % np.uint64(PLACES)).astype(np.int64), minlength=PLACES)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["place", "n"])
+
+    n = texts.count()
+    drawn = texts.select("text") if n <= SAMPLE else texts.filter(F.pmod(F.xxhash64("doc_id", "key"), F.lit(1_000_003)) < math.ceil(1_000_003 * SAMPLE / n)).select("text")
+    got = drawn.mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST).toArrow()
+    out = np.zeros(PLACES, np.uint16)
+    out[got.column("place").to_numpy()] = np.minimum(got.column("n").to_numpy(), 65_535)
+    return out
+
+
+def first_shingles(shingles: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """The shingles of which two sets of the given similarity share one; 0 for an empty set."""
+    if not len(shingles):
+        return np.zeros(1, np.uint64)
+    order = np.lexsort((shingles, common[shingles % np.uint64(PLACES)]))
+    return shingles[order[: len(shingles) - math.ceil(similarity * len(shingles) - 1e-9) + 1]]
+
+
+def parities(shingles: np.ndarray) -> bytes:
+    """Whether an odd number of shingles falls to each of 64 * WORDS places."""
+    return np.packbits((np.bincount((shingles >> np.uint64(40)) % np.uint64(64 * WORDS), minlength=64 * WORDS) & 1).astype(np.uint8)).tobytes()
 
 
 def _sets(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -38,52 +75,52 @@ def _sets(docs: DataFrame, shingle_words: int) -> DataFrame:
     return docs.select("key", "text").mapInArrow(run, "key string, shingles array<long>")
 
 
-def signature(shingles: np.ndarray) -> bytes:
-    """Low byte of the least value of the shingles under each of SLOTS hash functions; equal slots estimate similarity."""
-    out = np.full(SLOTS, ~np.uint64(0))
-    for i in range(0, len(shingles), 2048):
-        mixed = shingles[i : i + 2048, None] * _ODD[None, :]
-        mixed ^= mixed >> np.uint64(29)
-        out = np.minimum(out, (mixed * np.uint64(0xBF58476D1CE4E5B9)).min(0))
-    return ((out ^ (out >> np.uint64(32))) & np.uint64(0xFF)).astype(np.uint8).tobytes()
-
-
-def _marked(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """``(doc_id, key, fp, n, sig)``: digest of the text, fingerprint, number of distinct shingles, signature."""
+def _marked(docs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """``(doc_id, key, n, bits, firsts)``: digest of the text, number of distinct shingles, parities, first shingles."""
+    common = docs.sparkSession.sparkContext.broadcast(_common(docs, shingle_words))
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            texts = texts_of(batch)
-            fps = np.array([majority(np.unique(shingle_hashes(t, 1))) for t in texts], np.uint64).view(np.int64)
-            sets = [np.unique(shingle_hashes(t, shingle_words)) for t in texts]
-            sizes, signatures = [len(x) for x in sets], [signature(x) for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(fps), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary())], names=["doc_id", "key", "fp", "n", "sig"])
+            sets = [np.unique(shingle_hashes(t, shingle_words)) for t in texts_of(batch)]
+            firsts = [first_shingles(x, common.value, similarity).view(np.int64).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(parities, sets)), pa.binary()), pa.array(firsts, pa.binary())], names=["doc_id", "key", "n", "bits", "firsts"])
+
+    return docs.select("doc_id", "key", "text").mapInArrow(run, "doc_id long, key string, n long, bits binary, firsts binary")
 
-    return docs.select("doc_id", "key", "text").mapInArrow(run, "doc_id long, key string, fp long, n long, sig binary")
 
+def _shared(classes: DataFrame) -> DataFrame:
+    """``(unit, block, id)``: the texts that share a first shingle, by pairs of blocks.
+
+    Shingles shared by the same texts are one. A unit holds one block, or two of which only pairs across are wanted.
+    """
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            firsts = [np.frombuffer(x, np.int64) for x in batch.column("firsts").to_pylist()]
+            ids = np.repeat(batch.column("id").to_numpy(), list(map(len, firsts)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *firsts])), pa.array(ids)], names=["first", "id"])
 
-def _first_block(diff: np.ndarray) -> np.ndarray:
-    """Number of the first block in which two fingerprints agree; BLOCKS if there is none."""
-    first = np.full(diff.shape, BLOCKS, np.int8)
-    for b in reversed(range(BLOCKS)):
-        lo, hi = BITS * b // BLOCKS, BITS * (b + 1) // BLOCKS
-        first[(diff >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1) == 0] = b
-    return first
+    over = Window.partitionBy("first")
+    rows = classes.select("id", "firsts").mapInArrow(run, "first long, id long")
+    found = rows.select("id", F.bit_xor(F.xxhash64("id")).over(over).alias("those"), F.count("*").over(over).alias("size")).filter("size > 1").distinct()
+    blocks = F.ceil(F.col("size") / BLOCK)
+    dealt = found.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return dealt.select(F.struct("those", "size", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).alias("unit"), "block", "id")
 
 
-def _proposed(block: int, fp: np.ndarray, n: np.ndarray, group: np.ndarray, sig: np.ndarray, similarity: float, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, bool]:
+def _proposed(n: np.ndarray, block: np.ndarray, group: np.ndarray, bits: np.ndarray, similarity: float, across: bool, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, bool]:
     """Pairs of positions, in order of size, that may be similar and lie in different groups.
 
     Each position gives its partners number ``lo`` to ``hi`` - 1 among the later ones; True if there are more.
     """
     left, right, more = [], [], False
     ends = np.searchsorted(n, np.floor(n / similarity + 1e-9), "right")
-    for i in range(len(fp) - 1):
-        diff = fp[i + 1 : ends[i]] ^ fp[i]
-        near = np.flatnonzero(np.bitwise_count(diff) <= NEAR)
+    for i in range(len(n) - 1):
+        diff = np.bitwise_count(bits[i + 1 : ends[i]] ^ bits[i]).sum(1, dtype=np.int64)
+        near = np.flatnonzero(diff <= (1 - similarity) / (1 + similarity) * (n[i + 1 : ends[i]] + n[i]) + 1e-6)
+        if across:
+            near = near[block[near + i + 1] != block[i]]
         if len(near):
-            near = near[_first_block(diff[near]) == block]
-            near = near[(sig[near + i + 1] == sig[i]).sum(1) >= LEAST_AGREEING / 0.8 * similarity * SLOTS]
             apart = group[near + i + 1] != group[i]
             more |= bool(apart[hi:].any())
             near = near[lo:hi][apart[lo:hi]]
@@ -102,44 +139,46 @@ def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float =
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), "text").withColumn("key", F.md5(F.coalesce("text", F.lit(""))))
-    marks = written(_marked(texts, shingle_words), "marks")
-    classes = written(marks.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("sig").alias("sig")), "classes")
-    wide = shards(classes.select("fp").distinct(), BLOCKS - 1, BLOCKS)
+    marks = written(_marked(texts, shingle_words, similarity), "marks")
+    classes = written(marks.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits"), F.min("firsts").alias("firsts")).withColumn("id", F.xxhash64("key")), "classes")
+    units = written(_shared(classes), "units")
+    known = classes.join(units.select("id").distinct(), "id", "left_semi").select("key", "id", "rep", "n", "bits")
+    known = written(known, "known")
     links = roots = None
     lo, hi = 0, FIRST
     while True:
-        grouped = classes if roots is None else classes.join(roots, classes.key == roots.id, "left")
-        named = grouped.select("key", "fp", "n", "sig", F.col("key").alias("group") if roots is None else F.coalesce("root", "key").alias("group"))
-        held = named.join(wide, "fp").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("n", "key", "fp", F.xxhash64("group").alias("group"), "sig"))).alias("rows")).filter(F.size("rows") > 1)
+        grouped = known if roots is None else known.join(roots.withColumnRenamed("id", "linked"), F.col("key") == F.col("linked"), "left")
+        named = grouped.select("id", "n", "bits", F.xxhash64(F.col("key") if roots is None else F.coalesce("root", "key")).alias("group"))
+        held = units.join(named, "id").groupBy("unit").agg(F.sort_array(F.collect_list(F.struct("n", "id", "block", "group", "bits"))).alias("rows")).select((F.col("unit.low") < F.col("unit.high")).alias("across"), "rows")
         at, to = lo, hi
 
         def propose(batches: Batches, at: int = at, to: int = to) -> Batches:
             for batch in batches:
                 left, right, more = [], [], False
-                for shard, rows in zip(batch.column("shard").to_pylist(), batch.column("rows"), strict=True):
+                for across, rows in zip(batch.column("across").to_pylist(), batch.column("rows"), strict=True):
                     own = rows.values
-                    fp, n, group = (own.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("fp", "n", "group"))
-                    sig = np.frombuffer(b"".join(own.field("sig").to_pylist()), np.uint8).reshape(-1, SLOTS)
-                    a, b, rest = _proposed(shard >> 56, fp.view(np.uint64), n, group, sig, similarity, at, to)
+                    n, ids, block, group = (own.field(f).to_numpy(zero_copy_only=False) for f in ("n", "id", "block", "group"))
+                    bits = np.frombuffer(b"".join(own.field("bits").to_pylist()), np.uint64).reshape(-1, WORDS)
+                    a, b, rest = _proposed(n, block, group, bits, similarity, across, at, to)
                     more |= rest
-                    if len(a):
-                        keys = own.field("key")
-                        left += keys.take(pa.array(a)).to_pylist()
-                        right += keys.take(pa.array(b)).to_pylist()
+                    left.append(ids[a])
+                    right.append(ids[b])
+                a, b = (np.concatenate([np.empty(0, np.int64), *x]) for x in (left, right))
+                a, b = pa.array(a, pa.int64()), pa.array(b, pa.int64())
                 if more:
-                    left, right = [*left, None], [*right, None]
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()), pa.array(right, pa.string())], names=["a", "b"])
+                    a, b = (pa.concat_arrays([x, pa.nulls(1, pa.int64())]) for x in (a, b))
+                yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
-        pairs = written(held.mapInArrow(propose, "a string, b string"), "pairs")
+        pairs = written(held.mapInArrow(propose, "a long, b long").distinct(), "pairs")
         more, some = pairs.agg(F.count_if(F.col("a").isNull()), F.count("a")).first()
         if some:
-            needed = written(pairs.filter("a is not null").select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes.select("key", "rep"), "key"), "needed")
+            needed = written(pairs.filter("a is not null").select(F.explode(F.array("a", "b")).alias("id")).distinct().join(known.select("key", "id", "rep"), "id"), "needed")
             rows = texts.join(needed.withColumnRenamed("key", "k"), F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("key") == F.col("k")))
-            sets = written(_sets(rows.select("key", "text"), shingle_words).dropDuplicates(["key"]), "sets")
-            both = pairs.filter("a is not null").join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
+            sets = written(_sets(rows.select("key", "text"), shingle_words).dropDuplicates(["key"]).withColumn("id", F.xxhash64("key")), "sets")
+            both = pairs.filter("a is not null").join(sets.select(F.col("id").alias("a"), F.col("key").alias("k"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("key").alias("l"), F.col("shingles").alias("y")), "b")
             shared = F.size(F.array_intersect("x", "y"))
             union = F.size("x") + F.size("y") - shared
-            found = both.filter((union == 0) | (shared >= F.lit(similarity) * union)).select("a", "b")
+            found = both.filter((union == 0) | (shared >= F.lit(similarity) * union)).select(F.col("k").alias("a"), F.col("l").alias("b"))
             links = written(found if links is None else links.unionByName(found), "similar")
             roots = written(components(links), "roots")
         if not more:

@@ -136,6 +136,23 @@ def test_a_dense_group_leaves_one(spark):
     assert [r.doc_id for r in kept] == [0] and kept[0].text == rows[0][1]
 
 
+def test_appended_cut_and_short_copies_are_dropped(spark):
+    rng = random.Random(8)
+    words = lambda k, own: [f"{own}{rng.randrange(900)}" for _ in range(k)]
+    rows = []
+    for i in range(120):
+        w = words(rng.choice([60, 150, 400]), f"t{i % 3}x")
+        k = len(w)
+        changed = [w + words(k * 15 // 100, "other"), w + words(k * 20 // 100, "strange"), w + words(k * 24 // 100, "foreign"), w[: k - k * 15 // 100], w[: k - k * 19 // 100]][i % 5]
+        rows += [w, changed]
+        short = words(9, f"short{i}x")
+        rows += [short, [*short, "more"]]
+    docs = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    assert all(similarity(docs[i][1], docs[i + 1][1]) >= 0.8 for i in range(0, len(docs), 2))
+    kept = sorted(r.doc_id for r in simgroups.one_of_each_group(frame(spark, docs)).collect())
+    assert kept == list(range(0, len(docs), 2))
+
+
 def test_one_of_each_group_of_odd_tables(spark):
     assert simgroups.one_of_each_group(frame(spark, [])).count() == 0
     got = simgroups.one_of_each_group(frame(spark, [(1, "a b"), (1, "a b"), (None, "a b"), (None, "z"), (2, None), (3, "")]))
