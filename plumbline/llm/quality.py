@@ -36,7 +36,7 @@ def statistics(text: str, words: list[str], counts: Counter, n_chars: int | None
         1.0,
         math.log1p(len(words)) / 10,
         sum(map(str.isupper, words)) / n,
-        sum(c.isdigit() for c in text[:20_000]) / min(length, 20_000) if length else 0.0,
+        sum(map(str.isdigit, text)) / length,
         len(SYMBOLS.findall(text)) / length * 4,
         len(MARKED.findall(text)) / n,
         text.count("|") / n,

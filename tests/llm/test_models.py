@@ -1,6 +1,7 @@
 """Trained operators: held-out accuracy on the sample, and odd tables."""
 
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -52,6 +53,15 @@ def test_factorisation_identity():
     assert m.raw(at, value, np.zeros(4, int), 1)[0][0] == pytest.approx(0.3 + m.weights[at] @ value + pairs)
 
 
+def test_digit_share_is_of_the_whole_text():
+    words = ["word"] * 5_000 + ["12345"] * 5_000
+    text = " ".join(words)
+    share = quality.statistics(text, words, Counter(words), len(text))[3]
+    assert share == 25_000 / len(text)
+    back = " ".join(reversed(words))
+    assert quality.statistics(back, words[::-1], Counter(words), len(back))[3] == share
+
+
 def test_quality_of_odd_tables(spark):
     docs = spark.createDataFrame([(1, None, None, "k"), (2, "", 0, "k"), (2, "word " * 200_000, 5, "k"), (None, "a b", 3, "k")], "doc_id long, text string, n_chars long, score string").withColumnRenamed("score", "row")
     labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (9, None), (77, 1)], "doc_id long, quality int")
