@@ -1,7 +1,7 @@
 """Token files: ids packed in the fewest bits the vocabulary needs, in blocks with offsets.
 
 A file set is a folder of Parquet parts, one part per doc_id range in ascending order, whose rows
-are blocks: the documents of the block, where each starts in it, and their ids bit-packed. As every
+are blocks: the ids of the part before the block, its documents, where each starts in it, and their ids bit-packed. As every
 id has the same width, id number i of a block lies at bit i * width, so one document, or any run of
 ids, is unpacked without reading what stands before it.
 """
@@ -16,13 +16,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, maybe_broadcast, shared_path, small_batches, texts_of
+from plumbline.llm.common import Batches, shared_path, small_batches, texts_of
 from plumbline.llm.wordbpe import word_encoder
 
 #: A block is closed by the document that brings it to so many ids; a longer document is a block of its own.
 BLOCK_IDS = 1 << 16
 
-SCHEMA = "part long, block long, n_ids long, width int, doc_ids array<long>, offsets array<long>, packed binary"
+SCHEMA = "part long, block long, inner long, n_ids long, width int, doc_ids array<long>, offsets array<long>, packed binary"
 
 
 def width_of(vocabulary: int) -> int:
@@ -67,15 +67,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_ids: in
         encoder, part = word_encoder(tokenizer), TaskContext.get().partitionId()
         width = width_of(encoder.size)
         end = np.array([end_id], encoder.dtype).tobytes()
-        block, held, n = 0, [], 0
+        block, inner, held, n = 0, 0, [], 0
 
         def closed() -> pa.RecordBatch:
             ids = encoder.ids(b"".join(raw for _, raw in held))
             sizes = [len(raw) // encoder.dtype.itemsize for _, raw in held]
             offsets = np.concatenate([[0], np.cumsum(sizes)])[:-1]
             packed = pack(ids, width)
-            row = {"part": part, "block": block, "n_ids": len(ids), "width": width, "doc_ids": [d for d, _ in held], "offsets": offsets.tolist(), "packed": packed}
-            return pa.RecordBatch.from_pylist([row], pa.schema([("part", pa.int64()), ("block", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("packed", pa.binary())]))
+            row = {"part": part, "block": block, "inner": inner, "n_ids": len(ids), "width": width, "doc_ids": [d for d, _ in held], "offsets": offsets.tolist(), "packed": packed}
+            return pa.RecordBatch.from_pylist([row], pa.schema([("part", pa.int64()), ("block", pa.int64()), ("inner", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("packed", pa.binary())]))
 
         for batch in batches:
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch)), strict=True):
@@ -83,7 +83,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_ids: in
                 n += len(raw) // encoder.dtype.itemsize + 1
                 if n >= block_ids:
                     yield closed()
-                    block, held, n = block + 1, [], 0
+                    block, inner, held, n = block + 1, inner + n, [], 0
         if held:
             yield closed()
 
@@ -93,14 +93,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_ids: in
 
 
 def blocks(spark: SparkSession, path: str) -> DataFrame:
-    """The blocks with ``start``, the number of ids in the blocks before: sums of parts, then within a part."""
+    """The blocks with ``start``, the number of ids in the blocks before.
+
+    A block holds the count within its part; the sums of the parts before, one row a part and so one a
+    writing task, are broadcast. Only the counts of the blocks are read for these.
+    """
     held = spark.read.schema(SCHEMA).parquet(path)
     parts = held.groupBy("part").agg(F.sum("n_ids").alias("ids"))
     base = parts.select(F.col("part").alias("of"), (F.sum("ids").over(Window.orderBy("part")) - F.col("ids")).alias("base"))
-    inside = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    index = held.select("part", "block", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("inner")).join(base, F.col("part") == F.col("of"))
-    starts = maybe_broadcast(index.select(F.col("part").alias("p"), F.col("block").alias("b"), (F.col("base") + F.col("inner")).alias("start")), 100_000)
-    return held.join(starts, (F.col("part") == F.col("p")) & (F.col("block") == F.col("b"))).drop("p", "b")
+    return held.join(F.broadcast(base), F.col("part") == F.col("of")).withColumn("start", F.col("base") + F.col("inner")).drop("of", "base", "inner")
 
 
 def read(spark: SparkSession, path: str, wanted: list[int] | None = None) -> DataFrame:

@@ -100,3 +100,30 @@ def test_token_file_of_odd_tables(spark):
     rows = spark.createDataFrame([(3, "b"), (3, "b"), (None, None)], "doc_id long, text string")
     got = sorted((r.start, r.n_tokens, r.doc_id) for r in tokenfile.written_and_read(rows, BYTE, 2).collect())
     assert got == [(0, 1, None), (1, 2, 3), (3, 2, 3)]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_word_encoder_equals_the_library_on_odd_spacing(name):
+    import random
+
+    from tokenizers import Tokenizer
+
+    from plumbline.llm.wordbpe import WordEncoder
+
+    rng = random.Random(7)
+    parts = ["a", "B", "é", "ß", "don't", "it's", "'S", " ", " ", "  ", "\n", "\n\n", "\t", "\r\n", " \n", "\n ", "7", "42", "...", "word,", "«x»", "\x02", "\x03", "\x1c", "\x7f", "İ", "中", "\xa0", " ", "<|endoftext|>", "\v", "€5"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 20))) for _ in range(6_000)]
+    path = tokenizer_file(name)
+    library, encoder = Tokenizer.from_file(path), WordEncoder(path)
+    library.no_truncation()
+    for text, raw in zip(texts, encoder.encode(texts), strict=True):
+        assert encoder.ids(raw).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_blocks_start_where_the_blocks_before_end(spark):
+    docs = spark.createDataFrame([(i, "one two three " * (i % 7)) for i in range(300)], "doc_id long, text string")
+    path = shared_path(spark, "tokens")
+    tokenfile.write(docs, path, tokenizer_file("byte_bpe_50k.json"), end_id=2, block_ids=50)
+    rows = sorted((r.start, r.n_ids) for r in tokenfile.blocks(spark, path).select("start", "n_ids").collect())
+    assert len(rows) > 10 and rows[0][0] == 0
+    assert all(a + n == b for (a, n), (b, _) in zip(rows, rows[1:], strict=False))
