@@ -1,7 +1,7 @@
 """BPE encoding that encodes passages shared across documents once.
 
 Texts are cut into chunks where a rolling hash of their bytes says so, so equal passages give equal
-chunks wherever they stand. Chunk hashes are counted over the corpus. A chunk that occurs once is
+chunks wherever they stand. Chunks are known by 128 bits of hash and counted over the corpus. A chunk that occurs once is
 encoded where it is, together with its neighbours of that kind; a shared one is sent, once per batch,
 to the task that encodes it, and its ids are joined back to every occurrence. Where two pieces meet,
 the words at the seam are encoded again, over a window that grows until both of its ends lie at
@@ -27,9 +27,9 @@ from plumbline.llm.wordbpe import WordEncoder, word_encoder
 
 #: Rolling hash: window of 16 bytes; a cut where its low bits are zero, at least LEAST and at most MOST bytes apart.
 CUT_BITS, LEAST, MOST = 10, 256, 8192
-#: Shared chunks are known by a bit of their hash in a map of this many bits: 1 MB, whatever the corpus.
+#: Shared chunks are known by a bit of their hash in a map of 2^23 to 2^27 bits, at least PLACES for each: 16 MB at most.
 #: A chunk that only shares the bit takes the longer way, with the same result.
-MAP_BITS = 23
+MAP_BITS, MOST_MAP_BITS, PLACES = 23, 27, 16
 PAGE_BITS = 15
 
 #: White space to every tokenizer and Unicode version.
@@ -73,21 +73,26 @@ def _boundary(data: np.ndarray, at: int) -> int:
     return at
 
 
-def chunks(text: str) -> list[tuple[int, bytes]]:
-    """(hash, bytes) of each chunk in order."""
+def chunks(text: str) -> list[tuple[bytes, bytes]]:
+    """(128-bit hash, bytes) of each chunk in order."""
     raw, start, out = text.encode("utf-8"), 0, []
     for end in cuts(raw):
-        out.append((xxhash.xxh64_intdigest(raw[start:end]) >> 1, raw[start:end]))
+        out.append((xxhash.xxh3_128_digest(raw[start:end]), raw[start:end]))
         start = end
     return out
 
 
+def place(digest: bytes) -> int:
+    """What chunks are counted by: 63 bits of the hash. Chunks that differ and agree in these only count as shared."""
+    return int.from_bytes(digest[:8], "little") >> 1
+
+
 def _shared_map(docs: DataFrame) -> np.ndarray:
-    """Bit map of the hashes of chunks that occur more than once; 1 MB, built in pages by Spark."""
+    """Bit map of the places of chunks that occur more than once, built in pages by Spark."""
 
     def hashes(batches: Batches) -> Batches:
         for batch in batches:
-            found = [h for t in batch.column("text").to_pylist() if t for h, _ in chunks(t)]
+            found = [place(h) for t in batch.column("text").to_pylist() if t for h, _ in chunks(t)]
             h, n = np.unique(np.array(found, np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n, pa.int64())], names=["h", "n"])
 
@@ -98,11 +103,12 @@ def _shared_map(docs: DataFrame) -> np.ndarray:
                 bits[slots.values.to_numpy(zero_copy_only=False)] = 1
                 yield pa.RecordBatch.from_arrays([pa.array([page], pa.int64()), pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["page", "bits"])
 
-    counted = docs.select("text").mapInArrow(hashes, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
-    slot = F.col("h") % (1 << MAP_BITS)
+    counted = written(docs.select("text").mapInArrow(hashes, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h"), "repeated")
+    size = min(MOST_MAP_BITS, max(MAP_BITS, (PLACES * counted.count()).bit_length()))
+    slot = F.col("h") % (1 << size)
     paged = counted.select(F.floor(slot / (1 << PAGE_BITS)).alias("page"), (slot % (1 << PAGE_BITS)).cast("int").alias("slot")).groupBy("page").agg(F.collect_set("slot").alias("slots"))
-    whole = np.zeros((1 << (MAP_BITS - PAGE_BITS), 1 << (PAGE_BITS - 3)), np.uint8)
-    for page, bits in paged.mapInArrow(pages, "page long, bits binary").collect():
+    whole = np.zeros((1 << (size - PAGE_BITS), 1 << (PAGE_BITS - 3)), np.uint8)
+    for page, bits in paged.mapInArrow(pages, "page long, bits binary").toLocalIterator():
         whole[page] = np.frombuffer(bits, np.uint8)
     return whole.ravel()
 
@@ -151,8 +157,8 @@ def encoded_pieces(encoder: WordEncoder, texts: list[str]) -> Iterator[tuple[byt
             yield ids, e[0], e[1], len(head) // encoder.dtype.itemsize, len(tail) // encoder.dtype.itemsize
 
 
-PIECE = [("uid", pa.int64()), ("doc_id", pa.int64()), ("seq", pa.int32()), ("h", pa.int64()), ("text", pa.string()), ("raw", pa.binary()), ("head", pa.string()), ("tail", pa.string()), ("n_head", pa.int32()), ("n_tail", pa.int32())]
-PIECE_SCHEMA = "uid long, doc_id long, seq int, h long, text string, raw binary, head string, tail string, n_head int, n_tail int"
+PIECE = [("uid", pa.int64()), ("doc_id", pa.int64()), ("seq", pa.int32()), ("h", pa.binary()), ("text", pa.string()), ("raw", pa.binary()), ("head", pa.string()), ("tail", pa.string()), ("n_head", pa.int32()), ("n_tail", pa.int32())]
+PIECE_SCHEMA = "uid long, doc_id long, seq int, h binary, text string, raw binary, head string, tail string, n_head int, n_tail int"
 
 Finish = Callable[[WordEncoder, bytes], tuple]
 
@@ -195,7 +201,7 @@ def encode(docs: DataFrame, tokenizer: str, result: str = "ids") -> DataFrame:
             whole, loose, sent = [], [], set()
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 uid += 1
-                cut = [(h, raw, bits[(h & ((1 << MAP_BITS) - 1)) >> 3] >> (7 - (h & 7)) & 1) for h, raw in chunks(text or "")]
+                cut = [(h, raw, bits[(p := place(h) % (8 * len(bits))) >> 3] >> (7 - (p & 7)) & 1) for h, raw in chunks(text or "")]
                 if not any(c[2] for c in cut):
                     whole.append((uid, doc_id, text or ""))
                     continue
@@ -226,7 +232,7 @@ def encode(docs: DataFrame, tokenizer: str, result: str = "ids") -> DataFrame:
             yield _batch(rows, [PIECE[3], *PIECE[5:]])
 
     sent = pieces.filter("h is not null")
-    once = written(sent.filter("text is not null").groupBy("h").agg(F.min("text").alias("text")).mapInArrow(encoded, "h long, raw binary, head string, tail string, n_head int, n_tail int"), "shared")
+    once = written(sent.filter("text is not null").groupBy("h").agg(F.min("text").alias("text")).mapInArrow(encoded, "h binary, raw binary, head string, tail string, n_head int, n_tail int"), "shared")
     parts = ["uid", "doc_id", "seq", "raw", "head", "tail", "n_head", "n_tail"]
     joined = sent.select("uid", "doc_id", "seq", "h").join(once, "h").select(parts).unionByName(pieces.filter("h is null and seq is not null").select(parts))
 
