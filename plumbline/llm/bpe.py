@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, small_batches, written
+from plumbline.llm.common import Batches, bit_map, marked, small_batches, written
 from plumbline.llm.wordbpe import WordEncoder, word_encoder
 
 #: Rolling hash: window of 16 bytes; a cut where its low bits are zero, at least LEAST and at most MOST bytes apart.
@@ -30,7 +30,6 @@ CUT_BITS, LEAST, MOST = 10, 256, 8192
 #: Shared chunks are known by a bit of their hash in a map of 2^23 to 2^27 bits, at least PLACES for each: 16 MB at most.
 #: A chunk that only shares the bit takes the longer way, with the same result.
 MAP_BITS, MOST_MAP_BITS, PLACES = 23, 27, 16
-PAGE_BITS = 15
 
 #: White space to every tokenizer and Unicode version.
 SPACE = re.compile(r"[ \t-\r]")
@@ -96,21 +95,8 @@ def _shared_map(docs: DataFrame) -> np.ndarray:
             h, n = np.unique(np.array(found, np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n, pa.int64())], names=["h", "n"])
 
-    def pages(batches: Batches) -> Batches:
-        for batch in batches:
-            for page, slots in zip(batch.column("page").to_pylist(), batch.column("slots"), strict=True):
-                bits = np.zeros(1 << PAGE_BITS, np.uint8)
-                bits[slots.values.to_numpy(zero_copy_only=False)] = 1
-                yield pa.RecordBatch.from_arrays([pa.array([page], pa.int64()), pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["page", "bits"])
-
     counted = written(docs.select("text").mapInArrow(hashes, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h"), "repeated")
-    size = min(MOST_MAP_BITS, max(MAP_BITS, (PLACES * counted.count()).bit_length()))
-    slot = F.col("h") % (1 << size)
-    paged = counted.select(F.floor(slot / (1 << PAGE_BITS)).alias("page"), (slot % (1 << PAGE_BITS)).cast("int").alias("slot")).groupBy("page").agg(F.collect_set("slot").alias("slots"))
-    whole = np.zeros((1 << (size - PAGE_BITS), 1 << (PAGE_BITS - 3)), np.uint8)
-    for page, bits in paged.mapInArrow(pages, "page long, bits binary").toLocalIterator():
-        whole[page] = np.frombuffer(bits, np.uint8)
-    return whole.ravel()
+    return bit_map(counted, PLACES, MAP_BITS, MOST_MAP_BITS)
 
 
 class Seams:
@@ -201,7 +187,9 @@ def encode(docs: DataFrame, tokenizer: str, result: str = "ids") -> DataFrame:
             whole, loose, sent = [], [], set()
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 uid += 1
-                cut = [(h, raw, bits[(p := place(h) % (8 * len(bits))) >> 3] >> (7 - (p & 7)) & 1) for h, raw in chunks(text or "")]
+                cut = chunks(text or "")
+                common = marked(bits, np.array([place(h) for h, _ in cut], np.int64)).tolist()
+                cut = [(*c, known) for c, known in zip(cut, common, strict=True)]
                 if not any(c[2] for c in cut):
                     whole.append((uid, doc_id, text or ""))
                     continue

@@ -8,12 +8,13 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch: texts are long, so batches are kept far below Spark's 10,000 rows.
-BATCH_ROWS = 500
+#: Bytes of one Arrow batch: texts are long, so that Spark's 10,000 rows alone would be no bound.
+BATCH_BYTES = 4 << 20
 
 #: Tables up to this many rows (counted first) are broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 20_000
@@ -35,9 +36,31 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read again: cuts lineage, survives lost executors."""
-    path = shared_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    scratch_of(spark).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def scratch_of(spark: SparkSession) -> list[str]:
+    """Paths of the tables that ``written`` made in this session and nothing has deleted."""
+    context = spark.sparkContext
+    if not hasattr(context, "_plumbline_scratch"):
+        context._plumbline_scratch = []
+    return context._plumbline_scratch
+
+
+def discard(spark: SparkSession, *tables: DataFrame | str) -> None:
+    """Delete tables made by ``written``, given as frames or paths, whose last reader has been written itself."""
+    known = scratch_of(spark)
+    for path in (t if isinstance(t, str) else t.scratch_path for t in tables):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        if path in known:
+            known.remove(path)
 
 
 def ship(spark: SparkSession) -> None:
@@ -55,9 +78,9 @@ def ship(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows that one Arrow batch of texts brings into a Python worker, and see that it has this package."""
+    """Bound the bytes that one Arrow batch brings into a Python worker, alike in all operators, and see that it has this package."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,3 +114,33 @@ def remainder(of: str, divisor: int):
 
 
 Batches = Iterator[pa.RecordBatch]
+
+PAGE_BITS = 15
+
+
+def bit_map(hashes: DataFrame, places: int = 16, least_bits: int = 20, most_bits: int = 27) -> np.ndarray:
+    """Bits that are set for the hashes (column h, long), at least ``places`` bits for each, 16 MB at most; built in pages by Spark.
+
+    A hash that isn't among them may share a bit: what passes still has to be joined.
+    """
+
+    def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page, slots in zip(batch.column("page").to_pylist(), batch.column("slots"), strict=True):
+                bits = np.zeros(1 << PAGE_BITS, np.uint8)
+                bits[slots.values.to_numpy(zero_copy_only=False)] = 1
+                yield pa.RecordBatch.from_arrays([pa.array([page], pa.int64()), pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["page", "bits"])
+
+    size = min(most_bits, max(least_bits, (places * hashes.count()).bit_length()))
+    slot = F.pmod("h", F.lit(1 << size))
+    paged = hashes.select(F.floor(slot / (1 << PAGE_BITS)).alias("page"), (slot % (1 << PAGE_BITS)).cast("int").alias("slot")).groupBy("page").agg(F.collect_set("slot").alias("slots"))
+    whole = np.zeros((1 << (size - PAGE_BITS), 1 << (PAGE_BITS - 3)), np.uint8)
+    for page, bits in paged.mapInArrow(pages, "page long, bits binary").toLocalIterator():
+        whole[page] = np.frombuffer(bits, np.uint8)
+    return whole.ravel()
+
+
+def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set."""
+    at = hashes.astype(np.int64) & np.int64(8 * len(bits) - 1)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, ship, written
+from plumbline.llm.common import Batches, small_batches, written
 
 #: Neighbours of a node; sampled neighbours of each kind in a round; pairs kept per neighbour and group.
 DEGREE, SAMPLE, KEEP = 32, 20, 4
@@ -28,11 +28,6 @@ EDGE = "id long, nb long, sim float"
 _EDGE = [("id", pa.int64()), ("nb", pa.int64()), ("sim", pa.float32())]
 
 
-def batches_of(spark, rows: int = 5000) -> None:
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def matrix(units: list[bytes]) -> np.ndarray:
     """Vectors stored as signed bytes, each scaled to length 1."""
     x = np.frombuffer(b"".join(units), np.int8).reshape(len(units), -1).astype(np.float32)
@@ -67,7 +62,7 @@ def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     A node's id is its least vec_id; ``unit`` holds the vector as signed bytes, its
     largest component 127: the graph and the search compare these, results are scored anew.
     """
-    batches_of(vectors.sparkSession)
+    small_batches(vectors.sparkSession)
     numbers = F.transform("embedding", lambda x: x.cast("double"))
     fine = F.coalesce(F.forall(numbers, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False))) & F.exists(numbers, lambda x: x != 0), F.lit(False))
     rows = vectors.select(F.col("vec_id").cast("long"), numbers.alias("embedding")).filter("vec_id is not null").filter(fine)
@@ -108,7 +103,7 @@ def nearest_in(ids: np.ndarray, x: np.ndarray, n: int) -> Iterator[pa.RecordBatc
 
 def first_graph(nodes: DataFrame) -> DataFrame:
     """Edges between nodes that stand near each other in one of the orders."""
-    batches_of(nodes.sparkSession)
+    small_batches(nodes.sparkSession)
 
     def coded(batches: Batches) -> Batches:
         planes = None
@@ -226,7 +221,7 @@ def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, beam: int = B
     of entry points drawn by hash; then the nearest unexpanded candidates of every query are expanded
     over the graph's links, both ways, until none is left among the nearest.
     """
-    batches_of(nodes.sparkSession)
+    small_batches(nodes.sparkSession)
     links = written(both_ways(edges.select("id", "nb")).distinct().repartition("id"), "search-links")
     drawn = nodes.orderBy(F.xxhash64("id"), "id").limit(ENTRIES).toArrow()
     ids, points = np.array(drawn.column("id").to_pylist(), np.int64), drawn.column("unit").to_pylist()
