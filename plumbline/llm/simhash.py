@@ -1,32 +1,32 @@
 """SimHash near-duplicates: 64-bit fingerprints, sharded by vantage-point trees, linked exactly.
 
 A fingerprint is cut into ``blocks`` runs of bits. Two fingerprints that differ in at most ``k``
-bits differ in at most ``k // blocks`` bits of some block, so each block carries a vantage-point
-tree of its own over the Hamming distance within the block. A level of a tree is the ring, the
-distance to that level's vantage point; by the triangle bound two points of radius ``r`` lie in
-rings at most ``r`` apart, so every other branch is pruned. A fingerprint lives in one shard of
-each tree and is searched for in all shards whose rings overlap its boundary. With the defaults
-(three blocks, two bits) the radius is 0 and the overlap is the shard itself, so three rows per
-distinct fingerprint are shuffled, whatever the depth.
+bits differ in at most ``r = k // blocks`` bits of some block, so each block carries a vantage-point
+tree of its own over the Hamming distance within the block, with points of the data as vantage
+points. A level of a tree is the ring, the distance to that level's vantage point; by the triangle
+bound a point at distance r lies in rings at most r away, so every other branch is pruned. Of the
+branches left a point at that distance can only lie in those that flipping up to r bits leads to. A
+fingerprint lives in one shard of each tree and is searched for in the shards that its boundary
+overlaps and that lie outward at the first level, or level with it: of two points one lies outward.
 """
 
 from __future__ import annotations
 
 from functools import partial
-from itertools import product
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, ship, small_batches, texts_of, written
+from plumbline.llm.common import Batches, small_batches, texts_of, written
 from plumbline.llm.components import components
 
 BITS = 64
-#: Fixed points of the vantage levels, one per level; each block uses its own bits of them.
-VANTAGES = [xxhash.xxh64_intdigest(f"vantage {i}", seed=7) for i in range(8)]
+#: Levels of a tree, and points of the data among which its vantage points are chosen.
+LEVELS, CHOICE = 8, 64
 
 _LANES = np.uint64(0x0101010101010101)
 _digest = partial(xxhash.xxh64_intdigest, seed=42)
@@ -73,30 +73,70 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+def _span(block: int, blocks: int) -> tuple[int, int]:
+    return BITS * block // blocks, BITS * (block + 1) // blocks
 
 
-def _rings(fp: Column, block: int, blocks: int, levels: int, shift: tuple[int, ...] = ()) -> Column:
-    """The shard: the block's number and its distance to each level's vantage point, 7 bits each."""
-    lo, hi = BITS * block // blocks, BITS * (block + 1) // blocks
-    mask = ((1 << (hi - lo)) - 1) << lo
-    key = F.lit(block).cast("long")
-    for level in range(levels):
-        near = F.bit_count(fp.bitwiseAND(F.lit(_signed(mask))).bitwiseXOR(F.lit(_signed(VANTAGES[level] & mask)))).cast("long")
-        ring = near + F.lit(shift[level]) if shift else near
-        key = key * F.lit(128) + ring
-    return key
+def _mask(block: int, blocks: int) -> np.uint64:
+    lo, hi = _span(block, blocks)
+    return np.uint64(((1 << (hi - lo)) - 1) << lo)
 
 
-def shards(classes: DataFrame, max_distance: int = 2, blocks: int = 3, levels: int | None = None) -> DataFrame:
-    """``(shard, fp, probe)``: each fingerprint at home in one shard per tree, probing those its boundary overlaps."""
+def vantage_points(points: np.ndarray, block: int, blocks: int, levels: int = LEVELS) -> np.ndarray:
+    """Points whose distances within the block to those already chosen lie nearest to half its bits: their rings tell most apart."""
+    own = np.unique(points & _mask(block, blocks))
+    lo, hi = _span(block, blocks)
+    chosen = own[:1]
+    while 0 < len(chosen) < min(levels, len(own)):
+        off = np.abs(2 * np.bitwise_count(own[:, None] ^ chosen[None, :]).astype(np.int64) - (hi - lo)).max(1)
+        chosen = np.append(chosen, own[np.argmin(off + 1000 * np.isin(own, chosen))])
+    return chosen
+
+
+def overlapped(fps: np.ndarray, block: int, blocks: int, vantages: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the shards: the home of each fingerprint, and (which, shard) rows of those its boundary overlaps."""
+    lo, hi = _span(block, blocks)
+
+    def rings(points: np.ndarray) -> np.ndarray:
+        return np.bitwise_count((points[:, None] ^ vantages[None, :]) & _mask(block, blocks)).astype(np.int64)
+
+    def number(r: np.ndarray) -> np.ndarray:
+        out = np.full(len(r), block, np.int64)
+        for level in range(r.shape[1]):
+            out = out * (BITS + 1) + r[:, level]
+        return out
+
+    own = rings(fps)
+    home, found = number(own), [np.empty((0, 2), np.int64)]
+    for n in range(1, radius + 1):
+        for places in combinations(range(lo, hi), n):
+            moved = rings(fps ^ np.uint64(sum(1 << p for p in places)))
+            shard = number(moved)
+            ok = (moved[:, 0] >= own[:, 0]) & (shard != home) if len(vantages) else np.zeros(len(fps), bool)
+            found.append(np.stack([np.flatnonzero(ok), shard[ok]], 1))
+    return home, np.unique(np.concatenate(found), axis=0)
+
+
+def shards(classes: DataFrame, max_distance: int = 2, blocks: int = 2, levels: int = LEVELS) -> DataFrame:
+    """``(shard, fp, probe)``: each fingerprint at home in one shard per tree, probing those its boundary overlaps.
+
+    The vantage points are chosen among the CHOICE fingerprints of least hash; they decide the work only.
+    """
+    small_batches(classes.sparkSession)
     radius = max_distance // blocks
-    levels = levels or (8 if radius == 0 else 2)
-    fp = F.col("fp")
-    rows = [F.struct(_rings(fp, b, blocks, levels).alias("shard"), F.lit(False).alias("probe")) for b in range(blocks)]
-    rows += [F.struct(_rings(fp, b, blocks, levels, s).alias("shard"), F.lit(True).alias("probe")) for b in range(blocks) for s in product(range(-radius, radius + 1), repeat=levels) if any(s)]
-    return classes.select("fp", F.explode(F.array(*rows)).alias("x")).select("x.shard", "fp", "x.probe")
+    drawn = classes.select("fp", F.xxhash64("fp").alias("h")).orderBy("h", "fp").limit(CHOICE).toArrow().column("fp").to_numpy().view(np.uint64)
+    trees = [vantage_points(drawn, b, blocks, levels) for b in range(blocks)]
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 2048):
+                fps = batch.column("fp").slice(i, 2048).to_numpy().view(np.uint64)
+                for b, vantages in enumerate(trees):
+                    home, rest = overlapped(fps, b, blocks, vantages, radius)
+                    shard, who = np.concatenate([home, rest[:, 1]]), np.concatenate([fps, fps[rest[:, 0]]])
+                    yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(who.view(np.int64)), pa.array(np.arange(len(shard)) >= len(home))], names=["shard", "fp", "probe"])
+
+    return classes.select("fp").mapInArrow(run, "shard long, fp long, probe boolean")
 
 
 def _star_edges(home: np.ndarray, probes: np.ndarray, most: int) -> np.ndarray:
@@ -128,13 +168,12 @@ def _all_edges(home: np.ndarray, probes: np.ndarray, most: int) -> np.ndarray:
     return np.unique(found, axis=0)
 
 
-def links(classes: DataFrame, max_distance: int = 2, blocks: int = 3, levels: int | None = None, spanning: bool = False) -> DataFrame:
+def links(classes: DataFrame, max_distance: int = 2, blocks: int = 2, levels: int = LEVELS, spanning: bool = False) -> DataFrame:
     """``(a, b)`` of distinct fingerprints (column fp) that differ in at most ``max_distance`` bits.
 
     ``spanning``: only enough links to keep each group connected, at most one per point and shard;
     otherwise all of them, once each, a < b unsigned. Exact for every ``max_distance`` and ``blocks``.
     """
-    ship(classes.sparkSession)
     held = shards(classes, max_distance, blocks, levels).groupBy("shard").agg(
         F.collect_list(F.when(~F.col("probe"), F.col("fp"))).alias("home"), F.collect_list(F.when(F.col("probe"), F.col("fp"))).alias("probes")
     ).filter((F.size("home") > 0) & (F.size("home") + F.size("probes") > 1))
@@ -152,7 +191,7 @@ def links(classes: DataFrame, max_distance: int = 2, blocks: int = 3, levels: in
     return found if spanning else found.distinct()
 
 
-def near_groups(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2, blocks: int = 3) -> DataFrame:
+def near_groups(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2, blocks: int = 2) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
     component_id is the least doc_id among all documents whose fingerprints are reached over links
