@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import written
+from plumbline.llm.common import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,10 +27,12 @@ def components(edges: DataFrame) -> DataFrame:
     Each round shuffles at most the links that are left and is written to the shared folder. Null
     ends and self-links are ignored; repeated links count once; no links give an empty table.
     """
+    spark = edges.sparkSession
     now = written(edges.select("a", "b").filter("a <> b").distinct(), "links")
     mark = _mark(now)
     while mark[0]:
-        now = written(_small_star(_large_star(now)).distinct(), "stars")
+        last, now = now, written(_small_star(_large_star(now)).distinct(), "stars")
+        discard(spark, last)
         after = _mark(now)
         if after == mark:
             break

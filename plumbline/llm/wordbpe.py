@@ -41,7 +41,7 @@ PIECES_LOWERED = regex.compile(r"'(?:s|t|re|ve|m|ll|d)|\p{L}+|\p{N}|[^\p{L}\p{N}
 VISIBLE = re.compile(rf"{FIRST}?[!-~¡-įı-ɏ‐-‧‰-⁞€]+")
 
 #: Words whose ids a worker remembers: two generations of this many. A word met again moves to the younger one.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 class _Uneven(Exception):
