@@ -12,7 +12,8 @@ def divide(a: Column, b: Column) -> Column:
 
 
 def log_relative(now: Column, before: Column) -> Column:
-    return F.log(now.cast("double") / before.cast("double"))
+    """Null if a price is null, zero or below."""
+    return F.log(F.try_divide(now.cast("double"), before.cast("double")))
 
 
 def interval_text(low: Column, high: Column) -> Column:

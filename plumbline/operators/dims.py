@@ -41,6 +41,19 @@ def half_months(labels: DataFrame, deflator: DataFrame, months: DataFrame | None
     return rows.join(known, F.col("month_start") == F.col("known_month"), "left").drop("month_start").withColumnRenamed("known_month", "month_start")
 
 
+def months(dates: DataFrame) -> DataFrame:
+    """Month calendar of distinct dates (date): key, start, year, month, months since year 0."""
+    rows = dates.select(F.trunc("date", "month").alias("month_start")).filter("month_start is not null").distinct()
+    rows = rows.withColumns({"year": F.year("month_start"), "month": F.month("month_start")})
+    return rows.select(key("year", "month").alias("month_id"), "month_start", "year", "month", (F.col("year") * 12 + F.col("month") - 1).alias("month_number"))
+
+
+def map_key(dim: DataFrame, places: list[str], name: str = "map_key") -> DataFrame:
+    """``dim`` with the text by which a map finds a place: its parts from the narrowest on, blanks left out; null without any."""
+    parts = F.filter(F.array(*(F.trim(F.col(p).cast("string")) for p in places)), lambda x: x.isNotNull() & (x != ""))
+    return dim.withColumn(name, F.when(F.size(parts) > 0, F.array_join(parts, ", ")))
+
+
 def validity(table: DataFrame) -> DataFrame:
     """``(valid_from, valid_to)``: each distinct start ends the day before the next one, the last is open.
 

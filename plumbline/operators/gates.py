@@ -30,13 +30,29 @@ def blank_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(columns)}, {pairs}) as (column, blanks)").filter("blanks > 0")
 
 
+def _offending(df: DataFrame, keys: list[str], attributes: list[str]) -> DataFrame:
+    """Rows of the keys under which an attribute has more than one value; one aggregate of two numbers per attribute finds the keys."""
+    ends = df.groupBy(*keys).agg(*(f(F.col(a).cast("string")).alias(f"{n}{i}") for i, a in enumerate(attributes) for n, f in (("low", F.min), ("high", F.max))))
+    several = F.lit(False)
+    for i in range(len(attributes)):
+        several = several | F.coalesce(F.col(f"low{i}") < F.col(f"high{i}"), F.lit(False))
+    bad = ends.filter(several).select(*(F.col(k).alias(f"bad_{k}") for k in keys))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"bad_{k}"))
+    return df.join(bad, on, "left_semi")
+
+
 def several_values(df: DataFrame, keys: list[str], attributes: list[str]) -> DataFrame:
-    """Keys with more than one distinct value of an attribute: ``(keys, attribute, values)``."""
-    out = None
-    for a in attributes:
-        found = df.groupBy(*keys).agg(F.sort_array(F.collect_set(F.col(a).cast("string"))).alias("values")).filter(F.size("values") > 1).select(*keys, F.lit(a).alias("attribute"), "values")
-        out = found if out is None else out.unionByName(found)
-    return out
+    """Keys with more than one distinct value of an attribute: ``(keys, attribute, values)``. Values are gathered for such keys alone."""
+    sets = _offending(df, keys, attributes).groupBy(*keys).agg(*(F.sort_array(F.collect_set(F.col(a).cast("string"))).alias(f"values{i}") for i, a in enumerate(attributes)))
+    each = F.explode(F.array(*(F.struct(F.lit(a).alias("attribute"), F.col(f"values{i}").alias("values")) for i, a in enumerate(attributes))))
+    return sets.select(*keys, each.alias("x")).select(*keys, "x.attribute", "x.values").filter(F.size("values") > 1)
+
+
+def conflicting_rows(df: DataFrame, keys: list[str], attribute: str) -> DataFrame:
+    """The rows behind ``several_values``: evidence of which records disagree."""
+    return _offending(df, keys, [attribute])
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
@@ -77,6 +93,11 @@ def outside_vocabulary(df: DataFrame, column: str, vocabulary: DataFrame) -> Dat
     return df.select(column).distinct().join(known, F.col(column) == F.col("known"), "left_anti")
 
 
+def reachable(dim: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Rows of a dimension that some fact refers to: the scope of a vocabulary gate."""
+    return dim.join(facts.select(key).distinct(), key, "left_semi")
+
+
 def uncovered(df: DataFrame, column: str) -> DataFrame:
     """Rows that a mandatory left join left without a value."""
     return df.filter(F.col(column).isNull())

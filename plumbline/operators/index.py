@@ -50,7 +50,7 @@ def chained_index(links: DataFrame, cells: DataFrame, calendar: DataFrame, by: l
     stats = per_period(links, by)
     on = [*null_safe(grid, stats, by), grid["ord"] == stats["ord"]]
     rows = grid.join(stats, on, "left").select(*(grid[c] for c in [*by, "ord", "base"]), "mean_rel", "matched")
-    rows = rows.join(at_base, null_safe(rows, at_base, by), "left").select(*(rows[c] for c in rows.columns), "priced") if by else rows.crossJoin(at_base.limit(1))
+    rows = rows.join(at_base, null_safe(rows, at_base, by), "left").select(*(rows[c] for c in rows.columns), "priced") if by else rows.join(F.broadcast(at_base.limit(1)), F.lit(True), "left")
     line = Window.partitionBy(*by).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
     effective = F.count("matched").over(line) / F.sum(1 / F.col("matched")).over(line)
     ok = publishable(effective, F.min("matched").over(line), threshold, floor)

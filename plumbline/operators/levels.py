@@ -56,6 +56,12 @@ def units_per_day(cells: DataFrame, calendar: DataFrame, wages: DataFrame) -> Da
     return rows.select("ord", "mean_price", "wage", F.try_divide(F.col("wage"), F.col("mean_price")).alias("units"))
 
 
+def units_at_ends(cells: DataFrame, calendar: DataFrame, wages: DataFrame) -> DataFrame:
+    """One row: units per day at the selection's first period and at its last; null where the wage is."""
+    units = units_per_day(cells, calendar, wages)
+    return units.agg(F.min_by("units", "ord").alias("at_opening"), F.max_by("units", "ord").alias("at_close"))
+
+
 def wage_index(calendar: DataFrame, wages: DataFrame) -> DataFrame:
     """Change of the wage against the first period's, and the index on base 100; null if either wage is."""
     rows = calendar.join(wages, "month", "left").select("ord", "wage")

@@ -149,7 +149,7 @@ def estimator_contrast(spark, sf_dir):
 DRAWN = """, roster as (select item, outlet, row_number() over (partition by item order by outlet)-1 i from (select distinct item, outlet from links)),
 sizes as (select item, count(*) n from roster group by 1),
 draws as (select item, cast(r.range as int) rep, cast(floor(('0x'||substr(md5(concat_ws('|','20240101',item,r.range,d.draw)),1,8))::bigint*n/4294967296) as bigint) i
-  from (select item, n, unnest(range(n)) draw from sizes) d, range(50) r),
+  from (select item, n, unnest(range(n)) draw from sizes) d, range(2000) r),
 w as (select draws.item, rep, outlet, count(*) weight from draws join roster using (item, i) group by 1,2,3),
 own as (select item, outlet, ord, sum(log_rel) s, count(*) c from links group by 1,2,3),
 means as (select own.item, rep, ord, sum(weight*s)/sum(weight*c) m from own join w on own.item=w.item and own.outlet=w.outlet group by 1,2,3),
@@ -159,13 +159,13 @@ ci as (select item, ord, quantile_cont(v,0.025) low, quantile_cont(v,0.975) high
 
 @registered(DRAWN + " select item, ord, round(low,6) low, round(high,6) high, round(error,6) error, replicas from ci", "links")
 def bootstrap_ci(spark, sf_dir):
-    return rounded(bootstrap.interval(linked(spark, sf_dir)[0], 50, log=True))
+    return rounded(bootstrap.interval(linked(spark, sf_dir)[0], log=True))
 
 
 @registered(DRAWN + ", g as (select item, c.ord, c.ord=(select min(ord) from cells) based from (select distinct item from ci), (select distinct ord from cells) c) select item, g.ord, round(case when based then coalesce(low,0) else low end,6) low, round(case when based then coalesce(high,0) else high end,6) high, round(case when based then coalesce(error,0) else error end,6) error from g left join ci using (item, ord)", "links")
 def bootstrap_ci_filled(spark, sf_dir):
     links, cells = linked(spark, sf_dir)
-    return rounded(bootstrap.filled(bootstrap.interval(links, 50, log=True), cells.select("ord").distinct(), (0.0, 0.0, 0.0)))
+    return rounded(bootstrap.filled(bootstrap.interval(links, log=True), cells.select("ord").distinct(), (0.0, 0.0, 0.0)))
 
 
 # ---- coverage, levels, wages

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,10 +58,11 @@ def json_series(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``(path, encoding)`` per file: utf-8 if the whole file is, else cp1252 if every byte means something there, else null."""
+    """``(path, encoding, header)`` per file: utf-8 if the whole file is, else cp1252 if every byte means something there, else null; header: the first line's bytes."""
     files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    gap = F.decode("content", "iso-8859-1").rlike(_CP1252_GAP)
-    return files.select("path", F.when(F.is_valid_utf8(F.col("content").cast("string")), "utf-8").when(~gap, "cp1252").alias("encoding"))
+    latin = F.decode("content", "iso-8859-1")
+    header = F.encode(F.regexp_extract(latin, r"\A[^\r\n]*", 0), "iso-8859-1")
+    return files.select("path", F.when(F.is_valid_utf8(F.col("content").cast("string")), "utf-8").when(~latin.rlike(_CP1252_GAP), "cp1252").alias("encoding"), header.alias("header"))
 
 
 def from_cp1252(column: str):
@@ -69,22 +71,29 @@ def from_cp1252(column: str):
 
 
 def checked_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """CSV files each read as what it is encoded in, with an ``encoding`` column; byte-order marks and CRLF are absorbed.
+    """The named columns of CSV files, each file read as what it is encoded in, with an ``encoding`` column.
 
-    The driver sees one small row per file. A file that is neither raises.
+    Columns are found by each file's own header, wherever they stand; others are dropped and a missing
+    one raises. Quoted values may hold line feeds; byte-order marks and CRLF are absorbed. The driver
+    sees one small row per file, and files of one encoding and header are read together. A file that
+    is neither utf-8 nor cp1252 raises.
     """
-    kinds = encodings(spark, paths).collect()
-    bad = [r.path for r in kinds if r.encoding is None]
-    if bad:
-        raise ValueError(f"neither utf-8 nor cp1252: {bad[:5]}")
+    kinds: dict[tuple[str, bytes], list[str]] = {}
+    for r in encodings(spark, paths).collect():
+        if r.encoding is None:
+            raise ValueError(f"neither utf-8 nor cp1252: {r.path}")
+        kinds.setdefault((r.encoding, bytes(r.header)), []).append(r.path)
     out = None
-    for name, charset in (("utf-8", "UTF-8"), ("cp1252", "ISO-8859-1")):
-        own = [r.path for r in kinds if r.encoding == name]
-        if own:
-            rows = spark.read.schema(text_schema(columns)).option("header", True).option("encoding", charset).csv(own)
-            value = from_cp1252 if name == "cp1252" else F.col
-            part = rows.select(*(F.regexp_replace(F.coalesce(value(c), F.lit("")), "\r$", "").alias(c) for c in columns), F.lit(name).alias("encoding"))
-            out = part if out is None else out.unionByName(part)
+    for (name, raw), own in sorted(kinds.items()):
+        header = next(csv.reader([raw.decode("utf-8-sig" if name == "utf-8" else name)]), [])
+        missing = [c for c in columns if c not in header]
+        if missing:
+            raise ValueError(f"columns missing from {own[0]}: {missing}")
+        places = [f"c{i}" for i in range(len(header))]
+        rows = spark.read.schema(text_schema(places)).option("header", True).option("encoding", "UTF-8" if name == "utf-8" else "ISO-8859-1").option("multiLine", True).option("escape", '"').csv(own)
+        value = from_cp1252 if name == "cp1252" else F.col
+        part = rows.select(*(F.regexp_replace(F.coalesce(value(places[header.index(c)]), F.lit("")), "\r$", "").alias(c) for c in columns), F.lit(name).alias("encoding"))
+        out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], text_schema([*columns, "encoding"]))
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,39 +32,67 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def replace_periods(df: DataFrame, path: str, column: str, periods: Sequence[str]) -> None:
+def replace_periods(df: DataFrame, path: str, column: str, periods: Sequence) -> None:
     """Put ``df`` in place of exactly the listed periods of a table partitioned by ``column``.
 
-    No listed period: nothing happens. A row of another period raises. A listed period without a
-    row ends up empty.
+    Periods are compared as the text that names their folder, whatever the column's type. No listed
+    period: nothing happens. A row of another period raises before anything is written. A listed
+    period without a row ends up empty; it goes after the new rows are written.
     """
     if not periods:
         return
-    spark = df.sparkSession
-    stray = df.filter(~F.coalesce(F.col(column).isin(*periods), F.lit(False))).limit(1).collect()
+    spark, asked = df.sparkSession, {str(p) for p in periods}
+    name = F.col(column).cast("string")
+    stray = df.filter(~F.coalesce(name.isin(*asked), F.lit(False))).limit(1).collect()
     if stray:
         raise ValueError(f"a row lies outside the replaced periods: {stray[0].asDict()}")
+    filled = {r[0] for r in df.select(name).distinct().collect()}
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
-    filled = {r[0] for r in df.select(column).distinct().collect()}
-    for period in set(periods) - filled:
-        fs, at = _fs(spark, f"{path}/{column}={period}")
-        fs.delete(at, True)
+    fs, at = _fs(spark, path)
+    for status in fs.listStatus(at):
+        key, _, value = status.getPath().getName().partition("=")
+        if key == column and unquote(value) in asked - filled:
+            fs.delete(status.getPath(), True)
 
 
 def upsert_actions(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Both tables' rows by key with ``action``: insert, update (some attribute differs), or keep; nothing is deleted."""
+    """Both tables' rows by key with ``action``: insert, update (some attribute differs), or keep; nothing is deleted.
+
+    Null keys are keys like any other. A column that only the old table has keeps its values, one that
+    only the new one has is null in rows that aren't updated.
+    """
     names = [c for c in new.columns if c not in keys]
-    left = old.select(*keys, F.struct(*names).alias("_old"), F.lit(True).alias("_had"))
-    right = new.select(*keys, F.struct(*names).alias("_new"), F.lit(True).alias("_has"))
-    rows = left.join(right, list(keys), "full_outer")
+    others = [c for c in old.columns if c not in keys and c not in names]
+    kinds = {f.name: f.dataType for f in new.schema}
+    before = [F.col(n) if n in old.columns else F.lit(None).cast(kinds[n]).alias(n) for n in names]
+    left = old.select(*(F.col(k).alias(f"_old_{k}") for k in keys), F.struct(*before, F.lit(True).alias("_row")).alias("_old"), F.struct(*others, F.lit(True).alias("_row")).alias("_rest"), F.lit(True).alias("_had"))
+    right = new.select(*(F.col(k).alias(f"_new_{k}") for k in keys), F.struct(*names, F.lit(True).alias("_row")).alias("_new"), F.lit(True).alias("_has"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"_old_{k}").eqNullSafe(F.col(f"_new_{k}"))
+    rows = left.join(right, on, "full_outer")
     action = F.when(F.col("_had").isNull(), "insert").when(F.col("_has").isNotNull() & differs(F.col("_old"), F.col("_new")), "update").otherwise("keep")
     values = [F.when(F.col("_has").isNotNull(), F.col("_new")[n]).otherwise(F.col("_old")[n]).alias(n) for n in names]
-    return rows.select(*keys, *values, action.alias("action"))
+    return rows.select(*(F.coalesce(f"_new_{k}", f"_old_{k}").alias(k) for k in keys), *values, *(F.col("_rest")[n].alias(n) for n in others), action.alias("action"))
 
 
 def upsert(new: DataFrame, path: str, keys: Sequence[str]) -> dict[str, int]:
-    """Apply ``upsert_actions`` to a table and count them. Unchanged input writes nothing; a first load must have rows."""
+    """Apply ``upsert_actions`` to a table and count them. Unchanged input writes nothing; a first load must have rows.
+
+    A key that the batch holds twice raises. The old folder is kept beside the new one until that one is
+    in place; if a run ends between the two, the next one puts it back.
+    """
     spark = new.sparkSession
+    repeated = new.groupBy(*keys).count().filter("count > 1").limit(3).collect()
+    if repeated:
+        raise ValueError(f"keys repeated in the batch: {[r.asDict() for r in repeated]}")
+    fs, at = _fs(spark, path)
+    before = _fs(spark, f"{path.rstrip('/')}.before")[1]
+    if fs.exists(before):
+        if fs.exists(at):
+            fs.delete(before, True)
+        else:
+            fs.rename(before, at)
     if not exists(spark, path):
         if not new.limit(1).count():
             raise ValueError("a table can't be created from an empty batch")
@@ -75,9 +104,9 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str]) -> dict[str, int]:
     if any(done.values()):
         beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
         merged.drop("action").write.parquet(beside)
-        fs, at = _fs(spark, path)
-        fs.delete(at, True)
+        fs.rename(at, before)
         fs.rename(_fs(spark, beside)[1], at)
+        fs.delete(before, True)
     return done
 
 

@@ -131,3 +131,16 @@ def test_dimensions(spark):
     assert str(dims.monthly_wages(wages).first().month_start) == "2024-01-01"
     cpi = spark.createDataFrame([("2026/08/02", "145.53100000")], "period string, value string")
     assert dims.half_monthly_cpi(cpi).first().label == "2026-08_q2"
+
+
+def test_index_without_a_price_at_the_base_and_a_zero_price(spark):
+    from plumbline.operators import index as I
+    from plumbline.operators import panel as P
+
+    rows = [("s", "p", o, float(price)) for o, price in ((2, 10), (3, 20), (4, 0), (5, 5))]
+    cells = spark.createDataFrame(rows, "outlet string, item string, ord int, price double")
+    links = P.links(cells)
+    assert {r.ord: r.log_rel is None for r in links.select("ord", "log_rel").collect()}.get(5, True)
+    calendar = spark.createDataFrame([(i,) for i in (1, 2, 3)], "ord int")
+    got = {r.ord: r["index"] for r in I.chained_index(links.filter("ord < 4"), cells.filter("ord < 4"), calendar, [], threshold=1, floor=1).collect()}
+    assert set(got) == {1, 2, 3} and got[1] is None and abs(got[3] - 200) < 1e-9

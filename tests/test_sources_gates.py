@@ -169,3 +169,41 @@ def test_stream_reads_each_file_once(spark, tmp_path):
         query = stream_landing(spark, source, "v int", target, mark, "run")
         query.awaitTermination()
     assert sorted(r.v for r in spark.read.parquet(target).collect()) == [1, 2]
+
+
+def test_replace_periods_of_whole_numbers_and_dates(spark, tmp_path):
+    import datetime
+
+    rows = [(1, 2020, datetime.date(2020, 1, 1)), (2, 2021, datetime.date(2021, 1, 1))]
+    df = spark.createDataFrame(rows, "v int, year int, day date")
+    for column, label in (("year", "2020"), ("day", "2020-01-01")):
+        path = str(tmp_path / column)
+        df.write.partitionBy(column).parquet(path)
+        sinks.replace_periods(df.filter("v = 1").withColumn("v", F.lit(9)), path, column, [label])
+        assert sorted(r.v for r in spark.read.parquet(path).collect()) == [2, 9]
+
+
+def test_upsert_keeps_columns_null_keys_and_refuses_repeated_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.upsert(spark.createDataFrame([(1, "a", "x"), (None, "b", "y")], "k int, v string, kept string"), path, ["k"])
+    batch = spark.createDataFrame([(None, "c", 5), (2, "d", 6)], "k int, v string, more int")
+    assert sinks.upsert(batch, path, ["k"]) == {"insert": 1, "update": 1}
+    assert sinks.upsert(batch, path, ["k"]) == {"insert": 0, "update": 0}
+    got = sorted(((r.k or 0, r.v, r.kept, r.more) for r in spark.read.parquet(path).collect()), key=str)
+    assert got == [(0, "c", "y", 5), (1, "a", "x", None), (2, "d", None, 6)]
+    with pytest.raises(ValueError, match="repeated"):
+        sinks.upsert(spark.createDataFrame([(3, "a"), (3, "b")], "k int, v string"), path, ["k"])
+    (tmp_path / "t").rename(tmp_path / "t.before")  # a driver that died between the two renames
+    sinks.upsert(batch, path, ["k"])
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_checked_csv_reads_by_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'b,a,extra\r\n1,"two\nlines",z\r\n')
+    (tmp_path / "b.csv").write_bytes("\ufeffa,b\nñ,2\n".encode())
+    (tmp_path / "c.csv").write_bytes("a,b\nñ’,3\n".encode("cp1252"))
+    got = landing.checked_csv(spark, [str(tmp_path / "*.csv")], ["a", "b"]).collect()
+    assert sorted(tuple(r) for r in got) == [("two\nlines", "1", "utf-8"), ("ñ", "2", "utf-8"), ("ñ’", "3", "cp1252")]
+    (tmp_path / "d.csv").write_bytes(b"a,c\n1,2\n")
+    with pytest.raises(ValueError, match="missing"):
+        landing.checked_csv(spark, [str(tmp_path / "d.csv")], ["a", "b"])
