@@ -10,7 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of one Arrow batch: texts are long, so that Spark's 10,000 rows alone would be no bound.
@@ -108,6 +108,11 @@ def with_columns(batch: pa.RecordBatch, keep: list[str], **new: pa.Array) -> pa.
     return pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *new.values()], names=[*keep, *new])
 
 
+def drawn(hashed: Column, most: int, n: int) -> Column:
+    """True for about ``most`` of ``n`` rows: those whose 64-bit hash lies lowest; for all if there are no more."""
+    return F.lit(True) if n <= most else hashed < F.lit(-(1 << 63) + (most << 64) // n)
+
+
 def remainder(of: str, divisor: int):
     """crc32 of a column's text modulo ``divisor``; null for null."""
     return F.crc32(F.col(of).cast("string")) % divisor

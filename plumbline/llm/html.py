@@ -60,22 +60,32 @@ class Block:
     label: str = field(default="")
 
 
-def _boilerplate(name: str, attributes: str, inside: bool) -> bool:
+def _boilerplate(name: str, attributes: str, inside: bool) -> str:
+    """How surely an element is boilerplate: "sure" by tag, role or being hidden, "named" by a whole class name, "part" by a part of one, or empty."""
     if name in DROPPED_TAGS or name == "header" and not inside:
-        return True
+        return "sure"
     if not attributes or name in ("html", "body", "main"):
-        return False
+        return ""
+    found = ""
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            words = PART.findall(value)
-            if any(w in DROPPED_WORDS for w in words) or "header" in words and not inside:
-                return True
+            for token in value.split():
+                words = PART.findall(token)
+                if any(w in DROPPED_WORDS for w in words) or "header" in words and not inside:
+                    found = "named" if len(words) == 1 or found == "named" else "part"
         elif key == "role" and value in DROPPED_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return "sure"
         elif key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+            return "sure"
+    return found
+
+
+def _holds_the_text(tags: list[tuple], first: int, last: int, texts: list[int], kind: str) -> bool:
+    """Whether an element that its class names as boilerplate wraps an article or main element, is an article, or holds most of the page's text."""
+    if any(t[2] in ("article", "main") and not t[3] for t in tags[first + 1 : last]):
+        return True
+    return kind == "part" and (tags[first][2] == "article" or 2 * (texts[last] - texts[first]) > texts[-1])
 
 
 def _closing(tags: list[tuple], at: int, name: str) -> int | None:
@@ -128,14 +138,23 @@ def blocks(html: str) -> list[Block]:
                 breaks = 0
                 linked += len(text) * bool(inner["a"])
 
+    texts, sure = [0], 0  # characters of text up to each tag, outside scripts and what is surely boilerplate
+    for j, (_, end, name, closing, _) in enumerate(tags):
+        sure += (-1 if closing else 1) * (name in DROPPED_TAGS and name not in VOID_TAGS)
+        sure = max(0, sure)
+        upto = tags[j + 1][0] if j + 1 < len(tags) else len(html)
+        texts.append(texts[-1] + (0 if sure else len(html[end:upto].strip())))
     i, at = 0, 0
     unclosed: set[str] = set()
     while i < len(tags):
         start, end, name, closing, attributes = tags[i]
         add(html[at:start])
         at = end
-        if name and not closing and name not in VOID_TAGS and name not in unclosed and _boilerplate(name, attributes, bool(inner["article"] or inner["main"])):
-            last = None if attributes.endswith("/") else _closing(tags, i, name)
+        kind = _boilerplate(name, attributes, bool(inner["article"] or inner["main"])) if name and not closing and name not in VOID_TAGS and name not in unclosed else ""
+        last = _closing(tags, i, name) if kind and not attributes.endswith("/") else None
+        if kind and kind != "sure" and _holds_the_text(tags, i, len(tags) - 1 if last is None else last, texts, kind):
+            kind = ""
+        if kind:
             if name not in ("script", "style", "noscript", "template", "svg"):
                 close()
             if last is not None:
@@ -162,32 +181,51 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-def decide(block: Block) -> str:
-    """First pass: good, bad, or empty for ambiguous."""
+def stop_share(text: str) -> float:
+    words = LETTERS.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def decide(block: Block, known: bool) -> str:
+    """First pass: good, bad, or empty for ambiguous. ``known``: the page is in a language whose stop words are known; else length decides."""
     inside = block.region != "page"
     if block.links > (LINKS_INSIDE if inside else LINKS):
         return "bad"
-    if len(block.text) < SHORT or block.heading:
+    if len(block.text) < (SHORT if known else SHORT // 2) or block.heading:
         return "bad" if not inside and ("©" in block.text or "copyright" in block.text.lower()) else ""
-    words = LETTERS.findall(block.text.lower())
-    share = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if not known:
+        return "good"
+    share = stop_share(block.text)
     if share >= STOP_HIGH or share >= STOP_LOW and (inside or len(block.text) >= 3 * SHORT):
         return "good"
     return "" if inside or share >= STOP_LOW else "bad"
 
 
+def region_of(found: list[Block], labels: list[str]) -> tuple[str, ...]:
+    """The narrowest of article, main with article, and page that holds at least half of the characters of good blocks."""
+    good = {r: sum(len(b.text) for b, label in zip(found, labels, strict=True) if label == "good" and b.region == r) for r in ("article", "main", "page")}
+    total = sum(good.values())
+    if any(b.region == "article" for b in found) and 2 * good["article"] >= total and not good["main"]:
+        return ("article",)
+    if any(b.region != "page" for b in found) and 2 * (good["article"] + good["main"]) >= total:
+        return "article", "main"
+    return "article", "main", "page"
+
+
 def main_text(html: str | None) -> str:
     """The page's article: blocks joined by one newline, empty if there are none.
 
-    If the page has an article element, or else a main one, blocks outside it are left out and its
-    edges count as good neighbours; in other pages the edges count as bad ones.
+    Blocks outside the region that holds the good text are left out, and the edges of an article or
+    main element count as good neighbours; those of the page count as bad ones.
     """
     found = blocks(html or "")
-    regions = {b.region for b in found}
-    region = "article" if "article" in regions else "main" if "main" in regions else "page"
-    own = [b for b in found if b.region == region]
-    edge = "bad" if region == "page" else "good"
-    labels = [decide(b) for b in own]
+    long = " ".join(b.text for b in found if len(b.text) >= SHORT // 2 and b.links <= LINKS)
+    known = not long or stop_share(long) >= STOP_LOW / 2
+    first = [decide(b, known) for b in found]
+    region = region_of(found, first)
+    own = [b for b in found if b.region in region]
+    edge = "bad" if "page" in region else "good"
+    labels = [x for b, x in zip(found, first, strict=True) if b.region in region]
     n = len(own)
     before, after = [(edge, 0)] * n, [(edge, 0)] * n
     last = (edge, -1)

@@ -11,14 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, remainder, small_batches
+from plumbline.llm.common import Batches, drawn, remainder, small_batches
 
 ORDERS = (1, 2, 3)
 DIM = 1 << 16
 #: Odd multipliers of the n-gram hash, one per character of the n-gram.
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
-#: Training rows: a bounded, hash-drawn sample of the rows that may be learned from.
-MAX_TRAIN = 20_000
+#: Training rows of a language: a bounded, hash-drawn sample of those that may be learned from; rare languages give all.
+MAX_TRAIN = 5_000
 #: N-grams looked up at a time.
 BLOCK = 1 << 19
 
@@ -78,14 +78,16 @@ class LanguageModel:
 def fit(labelled: DataFrame, smoothing: float = 0.5, max_train: int = MAX_TRAIN) -> LanguageModel:
     """Learn from ``(doc_id, text, lang)``; rows with a null text or lang are passed over.
 
-    If there are more than about ``max_train`` rows, those with the least hash of doc_id are used.
+    Of a language with more than about ``max_train`` rows those with the least hash are used.
     Counts are summed by Spark; the driver gets at most one number per language and bucket.
     """
     small_batches(labelled.sparkSession)
     rows = labelled.select("doc_id", "text", "lang").filter("text is not null and lang is not null")
-    n = rows.select("doc_id", "lang").count()
-    if n > max_train:
-        rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * max_train / n))
+    h = F.xxhash64("doc_id", F.xxhash64("text"))
+    chosen = F.lit(False)
+    for lang, n in rows.groupBy("lang").count().collect():  # as many rows as the model has languages
+        chosen = chosen | ((F.col("lang") == lang) & drawn(h, max_train, n))
+    rows = rows.filter(chosen)
 
     def run(batches: Batches) -> Batches:
         sums: dict[str, np.ndarray] = {}

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, small_batches
+from plumbline.llm.common import Batches, shared_path, small_batches
 
 UNIT = 64
 RATE = 8000
@@ -101,6 +101,15 @@ def media(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
+def stored(docs: DataFrame) -> DataFrame:
+    """The table of ``media``, written as Parquet to the shared folder and read back."""
+    spark = docs.sparkSession
+    path = shared_path(spark, "media")
+    made = media(docs)
+    made.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def features(stored: DataFrame) -> DataFrame:
     """What is read back from a media column: sizes, checksums and the fingerprint arrays.
 

@@ -20,9 +20,9 @@ from plumbline.llm.common import Batches, small_batches, written
 DEGREE, SAMPLE, KEEP = 32, 20, 4
 #: First graph: so many orders by random half-spaces, cut into runs that are compared within.
 ORDERS, RUN = 4, 64
-ROUNDS, ENOUGH = 9, 0.03
+ENOUGH = 0.03
 #: Search: entry points drawn from all nodes, candidates held and expanded at once per query.
-ENTRIES, BEAM, STEP, HOPS = 256, 200, 40, 12
+ENTRIES, BEAM, STEP = 256, 200, 40
 
 EDGE = "id long, nb long, sim float"
 _EDGE = [("id", pa.int64()), ("nb", pa.int64()), ("sim", pa.float32())]
@@ -203,15 +203,14 @@ def _compare(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return a[good], b[good], found[good]
 
 
-def graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def graph(nodes: DataFrame) -> DataFrame:
     """``(id, nb, sim, fresh)``, at most DEGREE neighbours a node; ends when few neighbours are new."""
     edges = written(first_graph(nodes), "graph")
-    for _ in range(rounds):
+    while True:
         edges = written(descend(edges, nodes), "graph")
         total, new = edges.agg(F.count("*"), F.count_if("fresh")).first()
         if new <= ENOUGH * total:
-            break
-    return edges
+            return edges
 
 
 def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, beam: int = BEAM) -> DataFrame:
@@ -252,7 +251,7 @@ def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, beam: int = B
 
     home = queries.filter("home is not null").select("query", F.col("home").alias("nb"), F.lit(1.0).cast("float").alias("sim"), F.lit(True).alias("open"))
     held = written(best(queries.mapInArrow(entered, schema).unionByName(home)), "beam")
-    for _ in range(HOPS):
+    while True:
         turn = F.row_number().over(Window.partitionBy("query", "open").orderBy(F.desc("sim"), "nb"))
         marked = held.withColumn("now", F.col("open") & (turn <= STEP))
         front = marked.filter("now").select("query", F.col("nb").alias("id"))
@@ -260,7 +259,7 @@ def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, beam: int = B
         sized = reached.join(nodes.select(F.col("id").alias("nb"), F.col("unit").alias("other")), "nb").join(queries.select("query", "unit"), "query").select("query", "nb", "unit", "other")
         held = written(best(marked.select("query", "nb", "sim", (F.col("open") & ~F.col("now")).alias("open")).unionByName(sized.mapInArrow(measured, schema))), "beam")
         if not held.filter("open").limit(1).count():
-            break
+            break  # every hop closes STEP candidates of a query, and each node is opened once
     return held.select("query", "nb", "sim")
 
 

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, remainder, small_batches
+from plumbline.llm.common import Batches, drawn, remainder, small_batches
 
 #: Hashed words, then the statistics, each an input of the machine.
 WORD_INPUTS = 1 << 15
@@ -135,14 +135,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Facto
 
     Null labels and labels without a document are passed over; of several labels of one document the
     lower counts. If there are more than about ``max_train``, those with the least hash of doc_id
-    are used, so the join reads their texts alone and the driver gets a bounded number of rows.
+    are used, so the join reads their texts alone and the driver gets a bounded number of rows: one for
+    each doc_id, that of the least text if it repeats.
     """
     small_batches(docs.sparkSession)
     known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    n = known.count()
-    if n > max_train:
-        known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * max_train / n))
+    known = known.filter(drawn(F.xxhash64("doc_id"), max_train, known.count()))
     rows = docs.select("doc_id", "text", F.col("n_chars").cast("long")).join(F.broadcast(known), "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min(F.struct("text", "n_chars")).alias("x")).select("doc_id", "quality", "x.*")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -155,13 +155,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Facto
 
 
 def score(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
-    """``docs`` with score (0 to 1) and predicted (1 from 0.5 on). All columns of ``docs`` are kept.
+    """``docs`` with score (0 to 1) and predicted (1 from 0.5 on). All columns of ``docs`` are kept, but for such named score or predicted, which the new ones replace.
 
     Null and empty texts are scored by their statistics. The model has a fixed size and is broadcast.
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
+    names = [n for n in docs.columns if n not in ("score", "predicted")]
 
     def run(batches: Batches) -> Batches:
         for batch in batches:

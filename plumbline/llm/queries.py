@@ -11,7 +11,7 @@ from plumbline.llm.common import documents, tokenizer_file
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.features(media.media(documents(spark, sf_dir)))
+    return media.features(media.stored(documents(spark, sf_dir)))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,3 +85,25 @@ def test_extracted_table(spark):
     assert len(got) == 4 and all(r.n_chars == len(r.text) for r in got)
     assert sorted(r.n_chars for r in got)[0] == 0
     assert html.extracted(pages.limit(0)).count() == 0
+
+
+WRAPPED = "The cat and the dog were in the house for a long time and they had all of the food that was there on the table. " * 3
+
+
+@pytest.mark.parametrize("page,text", [
+    (f'<div class="container has-sidebar"><p>{WRAPPED}</p></div>', WRAPPED),
+    (f'<div class="post comments-open"><p>{WRAPPED}</p></div>', WRAPPED),
+    (f'<article class="post share-enabled"><p>{WRAPPED}</p></article>', WRAPPED),
+    ("<div><p>Katten och hunden var i huset en lång tid och de hade all mat som fanns på bordet i köket hela dagen.</p></div>", "Katten och hunden var i huset en lång tid och de hade all mat som fanns på bordet i köket hela dagen."),
+    ("<div><p>猫と犬は家の中に長い間いて、テーブルの上にあったすべての食べ物を食べました。それから眠りました。</p></div>", "猫と犬は家の中に長い間いて、テーブルの上にあったすべての食べ物を食べました。それから眠りました。"),
+    (f"<main><p>{WRAPPED}Lead.</p><article><p>{WRAPPED}</p></article></main>", f"{WRAPPED}Lead.\n{WRAPPED}"),
+    (f'<div class="comments"><p>{WRAPPED}</p></div><div><p>{WRAPPED}Main.</p></div>', f"{WRAPPED}Main."),
+])
+def test_wrappers_languages_and_regions(page, text):
+    assert html.main_text(f"<html><body>{page}</body></html>") == "\n".join(x.strip() for x in text.split("\n"))
+
+
+def test_stored_media_are_read_back(spark):
+    docs = spark.createDataFrame([(1, "héllo"), (2, None)], "doc_id long, text string")
+    rows = {r.doc_id: media.unpack(bytes(r.media)) for r in media.stored(docs).collect()}
+    assert rows == {1: "héllo".encode().ljust(64, b"\0"), 2: bytes(64)}

@@ -143,3 +143,28 @@ def test_neighbours_of_copies_ties_and_bad_vectors(spark):
     assert neighbours.nearest(df.limit(0), df).count() == 0
     one = df.filter("vec_id = 50")
     assert neighbours.nearest(one, one).count() == 0
+
+
+def test_columns_named_like_the_results_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a b c", 5, "old", 9)], "doc_id long, text string, n_chars long, score string, predicted int")
+    model = quality.train([], np.array([]))
+    got = quality.score(docs, model)
+    assert got.columns == ["doc_id", "text", "n_chars", "score", "predicted"] and dict(got.dtypes)["score"] == "double"
+    assert got.first().predicted in (0, 1)
+
+
+def test_draws_are_shares_of_the_whole_hash(spark):
+    from plumbline.llm.common import drawn
+
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("h"))
+    assert abs(rows.filter(drawn(F.col("h"), 2_000, 20_000)).count() - 2_000) < 300
+    assert rows.filter(drawn(F.col("h"), 20_000, 20_000)).count() == 20_000
+    assert 0 < (-(1 << 63) + (6_000 << 64) // 10**13) + (1 << 63)  # no size at which nothing is drawn
+
+
+def test_a_rare_language_is_learned(spark):
+    from plumbline.llm import langid
+
+    rows = [(i, "the cat and the dog were here with them", "en") for i in range(300)] + [(1000 + i, "xyloq zuvvek qorrim blexa", "rare") for i in range(3)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_train=20)
+    assert model.languages == ["en", "rare"] and model.predict("zuvvek xyloq")[0] == "rare"
