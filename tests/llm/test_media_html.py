@@ -88,13 +88,14 @@ def test_extracted_table(spark):
 
 
 WRAPPED = "The cat and the dog were in the house for a long time and they had all of the food that was there on the table. " * 3
+SWEDISH = "Katten och hunden var i huset en lång tid och de hade all mat som fanns på bordet i köket hela dagen. " * 3
 
 
 @pytest.mark.parametrize("page,text", [
     (f'<div class="container has-sidebar"><p>{WRAPPED}</p></div>', WRAPPED),
     (f'<div class="post comments-open"><p>{WRAPPED}</p></div>', WRAPPED),
     (f'<article class="post share-enabled"><p>{WRAPPED}</p></article>', WRAPPED),
-    ("<div><p>Katten och hunden var i huset en lång tid och de hade all mat som fanns på bordet i köket hela dagen.</p></div>", "Katten och hunden var i huset en lång tid och de hade all mat som fanns på bordet i köket hela dagen."),
+    (f"<div><p>{SWEDISH}</p></div>", SWEDISH),
     ("<div><p>猫と犬は家の中に長い間いて、テーブルの上にあったすべての食べ物を食べました。それから眠りました。</p></div>", "猫と犬は家の中に長い間いて、テーブルの上にあったすべての食べ物を食べました。それから眠りました。"),
     (f"<main><p>{WRAPPED}Lead.</p><article><p>{WRAPPED}</p></article></main>", f"{WRAPPED}Lead.\n{WRAPPED}"),
     (f'<div class="comments"><p>{WRAPPED}</p></div><div><p>{WRAPPED}Main.</p></div>', f"{WRAPPED}Main."),
