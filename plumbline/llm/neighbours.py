@@ -3,6 +3,10 @@
 Equal vectors are one node, so a group of copies never becomes a dense part of the graph; its rows
 come back when results are expanded. Rounds refine ``(id, nb, sim)``: neighbours of a node, in both
 directions, meet in one small group, where every pair that holds a new neighbour is compared.
+
+The graph over all nodes compares vectors rounded to signed bytes, which can't tell apart the members
+of a crowd (many unequal vectors nearer to each other than that rounding). Crowded nodes therefore get
+a second graph over their vectors in double precision, and a query that meets one searches there too.
 """
 
 from __future__ import annotations
@@ -21,19 +25,36 @@ DEGREE, SAMPLE, KEEP = 32, 20, 4
 #: First graph: so many orders by random half-spaces, cut into runs that are compared within.
 ORDERS, RUN = 4, 64
 ENOUGH = 0.03
+#: A node is crowded if all its DEGREE neighbours are at least this near; rounding shifts cosines by far less than 1 - CROWDED.
+CROWDED = 0.99
 #: Search: entry points drawn from all nodes, candidates held and expanded at once per query.
 ENTRIES, BEAM, STEP = 256, 200, 40
 
-EDGE = "id long, nb long, sim float"
-_EDGE = [("id", pa.int64()), ("nb", pa.int64()), ("sim", pa.float32())]
+EDGE = "id long, nb long, sim double"
+#: How the bytes of a node hold its vector: rounded for the graph over all nodes, in full for crowded ones.
+ROUNDED, FULL = np.int8, np.float64
 
 
-def matrix(units: list[bytes]) -> np.ndarray:
-    """Vectors stored as signed bytes, each scaled to length 1."""
-    x = np.frombuffer(b"".join(units), np.int8).reshape(len(units), -1).astype(np.float32)
+def matrix(units: list[bytes], kind: type) -> np.ndarray:
+    """Vectors stored as ``kind``, each scaled to length 1; in double precision if stored in full."""
+    x = np.frombuffer(b"".join(units), kind).reshape(len(units), -1).astype(np.float64 if kind is FULL else np.float32)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def packed(vectors: DataFrame, id_name: str, kind: type) -> DataFrame:
+    """``(id, unit)``: each vector of ``(id, embedding)`` as bytes of ``kind``, its largest component 127 or 1."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            if batch.num_rows:
+                x = np.stack(batch.column("embedding").to_numpy(zero_copy_only=False)).astype(np.float64)
+                x /= np.abs(x).max(1, keepdims=True)
+                x = np.round(x * 127).astype(ROUNDED) if kind is ROUNDED else x
+                yield pa.RecordBatch.from_arrays([batch.column(id_name), pa.array([r.tobytes() for r in x], pa.binary())], names=[id_name, "unit"])
+
+    return vectors.select(id_name, "embedding").mapInArrow(run, f"{id_name} long, unit binary")
+
+
 def groups(batches: Batches, key: str) -> Iterator[pa.RecordBatch]:
     """Batches of a stream sorted by ``key``, cut so that each holds whole groups."""
     held = None
@@ -52,7 +73,7 @@ def groups(batches: Batches, key: str) -> Iterator[pa.RecordBatch]:
 
 
 def edges_batch(a: np.ndarray, b: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float32())], names=["id", "nb", "sim"])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())], names=["id", "nb", "sim"])
 
 
 def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -72,16 +93,18 @@ def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     least = digest.groupBy("h").agg(F.min("vec_id").alias("id"))
     placed = written(digest.join(least, "h").select("vec_id", "id", "embedding"), "vectors")
 
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            if batch.num_rows:
-                x = np.stack(batch.column("embedding").to_numpy(zero_copy_only=False)).astype(np.float64)
-                x /= np.abs(x).max(1, keepdims=True)
-                x = np.round(x * 127).astype(np.int8)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r.tobytes() for r in x], pa.binary())], names=["id", "unit"])
+    return written(packed(originals(placed), "id", ROUNDED), "nodes"), placed
+
+
+def originals(rows: DataFrame) -> DataFrame:
+    """``(id, embedding)`` of each node, of the rows ``(vec_id, id, embedding)``."""
+    return rows.filter("vec_id = id").dropDuplicates(["id"]).select("id", "embedding")
+
 
-    one = placed.filter("vec_id = id").dropDuplicates(["id"]).select("id", "embedding")
-    return written(one.mapInArrow(run, "id long, unit binary"), "nodes"), placed
+def crowded(edges: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(id, unit)`` in full of the nodes whose neighbours all are nearer than rounding can order."""
+    full = edges.groupBy("id").agg(F.count("*").alias("n"), F.min("sim").alias("least")).filter((F.col("n") >= DEGREE) & (F.col("least") >= CROWDED))
+    return written(packed(originals(rows).join(full.select("id"), "id"), "id", FULL), "crowded")
 
 
 def top(edges: DataFrame, n: int) -> DataFrame:
@@ -101,8 +124,8 @@ def nearest_in(ids: np.ndarray, x: np.ndarray, n: int) -> Iterator[pa.RecordBatc
         yield edges_batch(np.repeat(ids, n), ids[best].ravel(), np.take_along_axis(sims, best, 1).ravel())
 
 
-def first_graph(nodes: DataFrame) -> DataFrame:
-    """Edges between nodes that stand near each other in one of the orders."""
+def first_graph(nodes: DataFrame, kind: type) -> DataFrame:
+    """Edges between nodes that stand near each other in one of the orders: by half-spaces, or by plain projection for crowds, which no half-space cuts."""
     small_batches(nodes.sparkSession)
 
     def coded(batches: Batches) -> Batches:
@@ -110,12 +133,13 @@ def first_graph(nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = matrix(batch.column("unit").to_pylist())
+            x = matrix(batch.column("unit").to_pylist(), kind)
             if planes is None:
                 planes = np.random.default_rng(23).normal(size=(x.shape[1], ORDERS * 20)).astype(np.float32)
-            bits = (x @ planes > 0).reshape(len(x), ORDERS, 20)
-            codes = (bits * (1 << np.arange(19, -1, -1))).sum(2) + (np.arange(ORDERS) << 20)
-            yield pa.RecordBatch.from_arrays([pa.array(codes.T.ravel(), pa.int64()), pa.array(np.tile(batch.column("id").to_numpy(), ORDERS), pa.int64()), pa.array(batch.column("unit").to_pylist() * ORDERS, pa.binary())], names=["code", "id", "unit"])
+            shown = (x @ planes).reshape(len(x), ORDERS, 20)
+            codes = shown[:, :, 0] if kind is FULL else ((shown > 0) * (1 << np.arange(19, -1, -1))).sum(2)
+            turn = np.repeat(np.arange(ORDERS), len(x))
+            yield pa.RecordBatch.from_arrays([pa.array(turn, pa.int64()), pa.array(codes.T.ravel(), pa.float64()), pa.array(np.tile(batch.column("id").to_numpy(), ORDERS), pa.int64()), pa.array(batch.column("unit").to_pylist() * ORDERS, pa.binary())], names=["turn", "code", "id", "unit"])
 
     def compared(batches: Batches) -> Batches:
         ids, units = [], []
@@ -123,12 +147,12 @@ def first_graph(nodes: DataFrame) -> DataFrame:
             ids += batch.column("id").to_pylist()
             units += batch.column("unit").to_pylist()
             while len(ids) >= 2 * RUN:  # what is left stays with the last run
-                yield from nearest_in(np.array(ids[:RUN]), matrix(units[:RUN]), DEGREE)
+                yield from nearest_in(np.array(ids[:RUN]), matrix(units[:RUN], kind), DEGREE)
                 ids, units = ids[RUN:], units[RUN:]
         if ids:
-            yield from nearest_in(np.array(ids), matrix(units), DEGREE)
+            yield from nearest_in(np.array(ids), matrix(units, kind), DEGREE)
 
-    placed = nodes.mapInArrow(coded, "code long, id long, unit binary").repartitionByRange("code").sortWithinPartitions("code", "id")
+    placed = nodes.mapInArrow(coded, "turn long, code double, id long, unit binary").repartitionByRange("turn", "code").sortWithinPartitions("turn", "code", "id")
     return top(placed.mapInArrow(compared, EDGE).filter("id <> nb").withColumn("fresh", F.lit(True)), DEGREE)
 
 
@@ -136,20 +160,20 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.withColumns({"id": F.col("nb"), "nb": F.col("id")}))
 
 
-def descend(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+def descend(edges: DataFrame, nodes: DataFrame, kind: type) -> DataFrame:
     """One round: neighbours of neighbours are compared, and each node keeps its nearest."""
     kinds = both_ways(edges.select("id", "nb", "fresh")).repartition("id").groupBy("id", "nb").agg(F.max("fresh").alias("fresh"))
     draw = F.row_number().over(Window.partitionBy("id", "fresh").orderBy(F.xxhash64("id", "nb"), "nb"))
     moving = F.max("fresh").over(Window.partitionBy("id"))  # a group without a fresh member has nothing to compare
     members = kinds.withColumns({"draw": draw, "moving": moving}).filter((F.col("draw") <= SAMPLE) & F.col("moving")).drop("draw", "moving")
     least = edges.groupBy("id").agg(F.when(F.count("*") >= DEGREE, F.min("sim")).otherwise(F.lit(-2.0)).alias("least"))
-    known = nodes.join(least, "id", "left").select(F.col("id").alias("nb"), "unit", F.coalesce("least", F.lit(-2.0)).cast("float").alias("least"))
+    known = nodes.join(least, "id", "left").select(F.col("id").alias("nb"), "unit", F.coalesce("least", F.lit(-2.0)).alias("least"))
     met = members.join(known, "nb").repartition("id").sortWithinPartitions("id")
 
     def compared(batches: Batches) -> Batches:
         held, n_held = [], 0
         for part in groups(batches, "id"):
-            held.append(_compare(part))
+            held.append(_compare(part, kind))
             n_held += len(held[-1][0])
             if n_held > 2_000_000:
                 yield from _nearest_of(held)
@@ -177,20 +201,20 @@ def _nearest_of(found: list[tuple]) -> Iterator[pa.RecordBatch]:
             yield edges_batch(a[i : i + 100_000][k], b[i : i + 100_000][k], sim[i : i + 100_000][k])
 
 
-def _compare(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _compare(part: pa.RecordBatch, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The best pairs within each group of a batch that hold a fresh member and are nearer than the first's farthest."""
     key, nb = part.column("id").to_numpy(), part.column("nb").to_numpy()
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(start, len(key)))
     g, slot, most = np.repeat(np.arange(len(start)), size), np.arange(len(key)) - np.repeat(start, size), int(size.max())
-    unit = matrix(part.column("unit").to_pylist())
-    x = np.zeros((len(start), most, unit.shape[1]), np.float32)
+    unit = matrix(part.column("unit").to_pylist(), kind)
+    x = np.zeros((len(start), most, unit.shape[1]), unit.dtype)
     x[g, slot] = unit
     who = np.full((len(start), most), -1, np.int64)
     who[g, slot] = nb
     fresh = np.zeros((len(start), most), bool)
     fresh[g, slot] = part.column("fresh").to_numpy(zero_copy_only=False)
-    floor = np.full((len(start), most), np.inf, np.float32)
+    floor = np.full((len(start), most), np.inf)
     floor[g, slot] = part.column("least").to_numpy()
     sims = x @ x.transpose(0, 2, 1)
     ok = (fresh[:, :, None] | fresh[:, None, :]) & (who[:, None, :] >= 0) & (sims > floor[:, :, None]) & (who[:, :, None] != who[:, None, :])
@@ -203,20 +227,20 @@ def _compare(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return a[good], b[good], found[good]
 
 
-def graph(nodes: DataFrame) -> DataFrame:
+def graph(nodes: DataFrame, kind: type = ROUNDED) -> DataFrame:
     """``(id, nb, sim, fresh)``, at most DEGREE neighbours a node; ends when few neighbours are new."""
-    edges = written(first_graph(nodes), "graph")
+    edges = written(first_graph(nodes, kind), "graph")
     while True:
-        edges = written(descend(edges, nodes), "graph")
+        edges = written(descend(edges, nodes, kind), "graph")
         total, new = edges.agg(F.count("*"), F.count_if("fresh")).first()
         if new <= ENOUGH * total:
             return edges
 
 
-def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, beam: int = BEAM) -> DataFrame:
+def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, kind: type = ROUNDED, beam: int = BEAM) -> DataFrame:
     """``(query, nb, sim)``: up to ``beam`` nodes near each query ``(query, unit, home)``.
 
-    Starts at ``home``, the query's own node if it has one, and at the nearest of a bounded number
+    Starts at ``home``, the query's own node or one near it, and at the nearest of a bounded number
     of entry points drawn by hash; then the nearest unexpanded candidates of every query are expanded
     over the graph's links, both ways, until none is left among the nearest.
     """
@@ -225,31 +249,31 @@ def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, beam: int = B
     drawn = nodes.orderBy(F.xxhash64("id"), "id").limit(ENTRIES).toArrow()
     ids, points = np.array(drawn.column("id").to_pylist(), np.int64), drawn.column("unit").to_pylist()
     shared = nodes.sparkSession.sparkContext.broadcast((ids, points))
-    schema = "query long, nb long, sim float, open boolean"
+    schema = "query long, nb long, sim double, open boolean"
 
     def entered(batches: Batches) -> Batches:
         ids, points = shared.value
         for batch in batches:
             if not batch.num_rows or not len(ids):
                 continue
-            sims = matrix(batch.column("unit").to_pylist()) @ matrix(points).T
+            sims = matrix(batch.column("unit").to_pylist(), kind) @ matrix(points, kind).T
             n = min(STEP, len(ids))
             best = np.argpartition(-sims, n - 1, axis=1)[:, :n]
-            rows = pa.array(np.repeat(batch.column("query").to_numpy(), n), pa.int64()), pa.array(ids[best].ravel(), pa.int64()), pa.array(np.take_along_axis(sims, best, 1).ravel(), pa.float32())
+            rows = pa.array(np.repeat(batch.column("query").to_numpy(), n), pa.int64()), pa.array(ids[best].ravel(), pa.int64()), pa.array(np.take_along_axis(sims, best, 1).ravel(), pa.float64())
             yield pa.RecordBatch.from_arrays([*rows, pa.array(np.ones(best.size, bool))], names=["query", "nb", "sim", "open"])
 
     def measured(batches: Batches) -> Batches:
         for batch in batches:
             if batch.num_rows:
-                sims = (matrix(batch.column("unit").to_pylist()) * matrix(batch.column("other").to_pylist())).sum(1)
-                yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("nb"), pa.array(sims, pa.float32()), pa.array(np.ones(len(sims), bool))], names=["query", "nb", "sim", "open"])
+                sims = (matrix(batch.column("unit").to_pylist(), kind) * matrix(batch.column("other").to_pylist(), kind)).sum(1)
+                yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("nb"), pa.array(sims, pa.float64()), pa.array(np.ones(len(sims), bool))], names=["query", "nb", "sim", "open"])
 
     def best(held: DataFrame) -> DataFrame:
         once = held.repartition("query").groupBy("query", "nb").agg(F.max("sim").alias("sim"), F.min("open").alias("open"))
         rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "nb"))
         return once.withColumn("rank", rank).filter(F.col("rank") <= beam).drop("rank")
 
-    home = queries.filter("home is not null").select("query", F.col("home").alias("nb"), F.lit(1.0).cast("float").alias("sim"), F.lit(True).alias("open"))
+    home = queries.filter("home is not null").select("query", F.col("home").alias("nb"), F.lit(1.0).alias("sim"), F.lit(True).alias("open"))
     held = written(best(queries.mapInArrow(entered, schema).unionByName(home)), "beam")
     while True:
         turn = F.row_number().over(Window.partitionBy("query", "open").orderBy(F.desc("sim"), "nb"))
@@ -275,12 +299,17 @@ def nearest(vectors: DataFrame, wanted: DataFrame, k: int = 5) -> DataFrame:
     ask = written(rows.join(wanted.select("vec_id").distinct(), "vec_id").select(F.col("vec_id").alias("query"), F.col("id").alias("home"), "embedding").dropDuplicates(["query", "home"]), "queries")
     queries = ask.join(nodes, ask.home == nodes.id).select("query", "home", "unit")
     found = search(queries, edges, nodes)
+    full = crowded(edges, rows)
+    if full.limit(1).count():
+        met = found.join(full.select(F.col("id").alias("nb")), "nb").groupBy("query").agg(F.max_by("nb", "sim").alias("near"))
+        again = met.join(packed(ask.groupBy("query").agg(F.min_by("embedding", "home").alias("embedding")), "query", FULL), "query").select("query", F.col("near").alias("home"), "unit")
+        found = found.unionByName(search(written(again, "queries"), graph(full, FULL), full, FULL)).groupBy("query", "nb").agg(F.max("sim").alias("sim"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy("vec_id"))
     members = rows.select("vec_id", "id").distinct().withColumn("rank", rank).filter(F.col("rank") <= k + 1).select("vec_id", F.col("id").alias("nb"))
     cosine = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     length = lambda c: F.sqrt(F.aggregate(F.col(c), F.lit(0.0), lambda s, x: s + x * x))
-    originals = rows.filter("vec_id = id").dropDuplicates(["id"]).select(F.col("id").alias("nb"), F.col("embedding").alias("b"))
-    scored = found.join(ask.select("query", F.col("embedding").alias("a")), "query").join(originals, "nb").select("query", "nb", (cosine / (length("a") * length("b"))).alias("score"))
+    whole = originals(rows).select(F.col("id").alias("nb"), F.col("embedding").alias("b"))
+    scored = found.join(ask.select("query", F.col("embedding").alias("a")), "query").join(whole, "nb").select("query", "nb", (cosine / (length("a") * length("b"))).alias("score"))
     every = scored.join(members, "nb").filter("vec_id <> query")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     return every.withColumn("rank", place).filter(F.col("rank") <= k).select(F.col("query").alias("query_id"), F.col("rank").cast("int"), "vec_id", "score")

@@ -132,6 +132,18 @@ def test_neighbours_recall(spark):
         assert r.score == pytest.approx(float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b))), abs=1e-12)
 
 
+@pytest.mark.parametrize("noise", [1e-2, 1e-3])
+def test_neighbours_in_a_crowd_of_unequal_vectors(spark, noise):
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=32)
+    vectors = {i: centre + rng.normal(size=32) * noise if i % 3 else rng.normal(size=32) for i in range(1_800)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, df.filter("vec_id % 50 = 0")).collect()
+    truth = exact(vectors, range(0, 1_800, 50), 5)
+    hits = {crowd: [r.vec_id in truth[r.query_id] for r in got if bool(r.query_id % 3) is crowd] for crowd in (True, False)}
+    assert len(got) == 180 and all(np.mean(h) >= 0.9 for h in hits.values()), {c: np.mean(h) for c, h in hits.items()}
+
+
 def test_neighbours_of_copies_ties_and_bad_vectors(spark):
     same = [1.0, 0.0, 0.0]
     rows = [(i, same) for i in range(100, 130)] + [(0, same), (50, [0.0, 1.0, 0.0]), (1, None), (2, [0.0, 0.0, 0.0]), (3, [1.0, None, 0.0]), (4, [float("nan"), 1.0, 0.0]), (5, [float("inf"), 1.0, 0.0]), (6, [1.0, 2.0]), (7, [2.0, 1e-3, 0.0]), (None, same), (0, same)]
