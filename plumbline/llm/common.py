@@ -140,7 +140,8 @@ def bit_map(hashes: DataFrame, places: int = 16, least_bits: int = 20, most_bits
     slot = F.pmod("h", F.lit(1 << size))
     paged = hashes.select(F.floor(slot / (1 << PAGE_BITS)).alias("page"), (slot % (1 << PAGE_BITS)).cast("int").alias("slot")).groupBy("page").agg(F.collect_set("slot").alias("slots"))
     whole = np.zeros((1 << (size - PAGE_BITS), 1 << (PAGE_BITS - 3)), np.uint8)
-    for page, bits in paged.mapInArrow(pages, "page long, bits binary").toLocalIterator():
+    found = paged.mapInArrow(pages, "page long, bits binary").toArrow()  # no more than the map itself, by one job
+    for page, bits in zip(found.column("page").to_pylist(), found.column("bits").to_pylist(), strict=True):
         whole[page] = np.frombuffer(bits, np.uint8)
     return whole.ravel()
 
