@@ -270,7 +270,7 @@ def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float =
     Rows of one text are one class and never paired; key is the text's digest, rep its least doc_id.
     After the fingerprint links, each round verifies pairs that lie in different groups on the shingle
     sets of their whole texts, and the verified links join groups, until no unit has more to propose;
-    a dense group costs its members a few pairs each. Texts without a word are similar to each other.
+    a dense group costs its members a few pairs each. A group is handed on as its members and their root. Texts without a word are similar to each other.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -287,15 +287,16 @@ def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float =
     linked = _confirmed(pairs, texts, known, shingle_words, similarity)
     discard(spark, pairs)
     roots = written(components(linked), "roots")
+    discard(spark, linked)
     lo, hi = 0, FIRST
     while True:
         pairs = _proposals(units, known, roots, similarity, lo, hi)
         if pairs.filter("a is not null").limit(1).count():
             found = _confirmed(pairs.filter("a is not null").select("a", "b").distinct(), texts, known, shingle_words, similarity)
-            after = written(linked.unionByName(found), "linked")
-            discard(spark, linked, found, roots)
-            linked = after
-            roots = written(components(linked), "roots")
+            joined = roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(found)
+            after = written(components(joined), "roots")
+            discard(spark, found, roots)
+            roots = after
         rest = pairs.filter("unit is not null").select("unit")
         if not rest.limit(1).count():
             break
