@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, html, langid, media, mixing, neighbours, quality, secrets, simhash, tokenfile
+from plumbline.llm import bpe, html, langid, media, mixing, negatives, neighbours, quality, secrets, simhash, tokenfile
 from plumbline.llm.common import documents, tokenizer_file
 
 
@@ -52,6 +52,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir))
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_bpe": op2_bpe,
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_html": op9_html,
     "op10_simhash": op10_simhash,
+    "op13_negatives": op13_negatives,
 }
 
 #: DuckDB text for what SQL can express; the other queries have brute-force tests.
@@ -84,3 +89,13 @@ k as (select source, arg_min(place + case when words-(need-upto+words) < need-up
 select doc_id, size, source_size, target, cast(size*(times+case when place < coalesce(cut, case when need>0 then 1152921504606846976 else 0 end) then 1 else 0 end) as bigint) taken
 from d join m on d.source is not distinct from m.source left join k on d.source is not distinct from k.source
 """
+
+ORACLE_SQL["op13_negatives"] = """
+with v as (select vec_id, case when vec_id%7=0 then (label+1)%10 else label end l, list_transform(embedding, lambda x: floor(256.0::double*x::double)) p from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x)))=0),
+s as (select a.vec_id anchor_id, v.vec_id, v.l=a.l same, cast(list_inner_product(a.p, v.p) as bigint) score from v a join v on a.vec_id%100=0 and v.vec_id<>a.vec_id),
+p as (select anchor_id, vec_id positive_id, score positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as int) rank, vec_id negative_id, positive_score, score negative_score
+from p join s on s.anchor_id=p.anchor_id and not same and 30*positive_score<=100*score and 100*score<=90*positive_score
+qualify row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) <= 10
+"""
