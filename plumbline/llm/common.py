@@ -34,12 +34,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read again: cuts lineage, survives lost executors."""
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` written once to the shared folder, in folders of the columns ``by``, and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     scratch_of(spark).append(path)
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
@@ -99,6 +99,17 @@ def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def looked_up(rows: DataFrame, table: DataFrame, key: list[str], by: str, how: str = "left", salts: int = 16) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row a key at most; a key may hold any share of the rows.
+
+    Rows are dealt by key and a salt from the column ``by``; each key and salt that occurs, counted before it is
+    shuffled, gets its row of the table. ``rows`` is read twice. A null key finds nothing.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+    asked = salted.select(*key, "_salt").distinct().join(table, key)
+    return salted.join(asked, [*key, "_salt"], how).drop("_salt")
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The text column as Python strings, null as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

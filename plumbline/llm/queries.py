@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, html, langid, media, mixing, negatives, neighbours, quality, secrets, simhash, tokenfile
+from plumbline.llm import archives, bpe, html, langid, media, mixing, negatives, neighbours, quality, secrets, simhash, tokenfile
 from plumbline.llm.common import documents, tokenizer_file
 
 
@@ -52,6 +52,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir))
 
 
+def op11_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_html": op9_html,
     "op10_simhash": op10_simhash,
+    "op11_archives": op11_archives,
     "op13_negatives": op13_negatives,
 }
 
@@ -90,6 +95,15 @@ select doc_id, size, source_size, target, cast(size*(times+case when place < coa
 from d join m on d.source is not distinct from m.source left join k on d.source is not distinct from k.source
 """
 
+ORACLE_SQL["op11_archives"] = """
+with d as (select page_id, octet_length(encode(coalesce(html,''))) payload_bytes, sha1(coalesce(html,'')) h from pages),
+r as (select *, max(page_id) over (partition by h, payload_bytes) best from d)
+select page_id, payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1+(((('0x'||substr(h, 1+5*(i//4), 5))::int >> (15-5*(i%4))::int) & 31)), 1)), '') payload_digest,
+    case when page_id is not distinct from best then 'response' else 'revisit' end record_type,
+    case when page_id is distinct from best then best end refers_to from r
+"""
+
 ORACLE_SQL["op13_negatives"] = """
 with v as (select vec_id, case when vec_id%7=0 then (label+1)%10 else label end l, list_transform(embedding, lambda x: floor(256.0::double*x::double)) p from embeddings
     where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x)))=0),
