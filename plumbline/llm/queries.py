@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import archives, bpe, html, langid, media, mixing, negatives, neighbours, quality, secrets, simhash, tokenfile
+from plumbline.llm import archives, bpe, html, langid, media, mixing, negatives, neighbours, quality, secrets, simhash, tokenfile, tries
 from plumbline.llm.common import documents, tokenizer_file
 
 
@@ -56,6 +56,10 @@ def op11_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html": op9_html,
     "op10_simhash": op10_simhash,
     "op11_archives": op11_archives,
+    "op12_trie": op12_trie,
     "op13_negatives": op13_negatives,
 }
 
@@ -104,6 +109,25 @@ select page_id, payload_bytes,
     case when page_id is distinct from best then best end refers_to from r
 """
 
+#: DuckDB has no crc32: its bits are folded over the decimal's bytes, -1 standing for the shift of one bit.
+ORACLE_SQL["op12_trie"] = """
+with t as (select conv_id, md5(length(coalesce(role,''))||':'||coalesce(role,'')||coalesce("text",'')) h, octet_length(encode(coalesce("text",''))) b, turn from conversations where conv_id is not null),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, h) pos from t),
+c as (select conv_id, count(*) n, conv_id-conv_id%5 base, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(conv_id::varchar, ''), lambda x: [ascii(x)::bigint,-1,-1,-1,-1,-1,-1,-1,-1]))),
+    lambda a, i: case when i>=0 then xor(a,i) else xor(a>>1, 3988292384*(a&1)) end))%9 k from t group by 1),
+r as (select c.conv_id, pos depth, h, b from c join o on o.conv_id=c.base and pos<=k
+    union all select c.conv_id, pos-c.k+least(c.k, coalesce(d.n,0)), h, b from c join o on o.conv_id=c.conv_id and pos>c.k left join c d on d.conv_id=c.base),
+p as (select conv_id, depth, md5(string_agg(h, '') over (partition by conv_id order by depth rows unbounded preceding)) prefix, b from r union all select conv_id, 0, '', 0 from c),
+n as (select depth, prefix, min(conv_id) conv_id, count(*) n_convs, any_value(b) b from p group by 1,2),
+u as (select n.*, q.prefix above from n left join p q on q.conv_id=n.conv_id and q.depth=n.depth-1),
+k as (select depth-1 depth, above prefix, count(*) n_children from u where depth>0 group by 1,2),
+w as (select u.*, coalesce(n_children,0) n_children, (n_convs-1)*b saved from u left join k on k.depth=u.depth and k.prefix=u.prefix),
+s as (select q.depth, q.prefix, sum((n_children=0)::int) n_leaves, sum(saved) saved_tokens from w join p q on q.conv_id=w.conv_id and q.depth<=w.depth group by 1,2),
+e as (select depth, prefix, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) ends from p join (select conv_id i, max(depth) l from p group by 1) on i=conv_id and l=depth group by 1,2)
+select w.conv_id, w.depth, m.conv_id parent_conv_id, w.n_convs, w.n_children, cast(n_leaves as bigint) n_leaves, cast(saved_tokens as bigint) saved_tokens, coalesce(ends, sha256('')) ends_sha256
+from w join s on s.depth=w.depth and s.prefix=w.prefix left join e on e.depth=w.depth and e.prefix=w.prefix left join n m on m.depth=w.depth-1 and m.prefix=w.above
+"""
+
 ORACLE_SQL["op13_negatives"] = """
 with v as (select vec_id, case when vec_id%7=0 then (label+1)%10 else label end l, list_transform(embedding, lambda x: floor(256.0::double*x::double)) p from embeddings
     where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x)))=0),
