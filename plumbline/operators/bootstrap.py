@@ -1,53 +1,198 @@
-"""Bootstrap interval of the chained index: outlets drawn with replacement, distributed and repeatable.
+"""Bootstrap interval of the chained index: outlets drawn with replacement, as products of matrices in blocks.
 
-Draw number d of replica r of an item with n outlets takes the outlet number ``floor(h * n / 2^32)``
-of its roster, h being 32 bits of a hash of (seed, item, r, d). No random state is shared, so the
-result doesn't depend on partitioning, and nothing passes through the driver.
+Draw number d of replica r of an item with n outlets takes the outlet number ``floor(h * n / 2^32)`` of its
+roster, h being 32 bits mixed from (seed, item), r and d. No random state is shared, so the result doesn't depend on
+partitioning, and nothing passes through the driver.
+
+A block of replicas of an item counts its draws per outlet; the counts are cut by blocks of outlets. There a (replicas x
+outlets) matrix of counts meets the (outlets x periods) matrices of the links' sums and counts, and the two products are
+added up over the blocks of outlets. No row is made for a draw, nor for a replica and period: rows are blocks, and a task
+holds one block of outlets, one of replicas, or the level of all replicas of one item at every period.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.package import ship
+
 REPLICAS, SEED = 2000, 20240101
 
+#: Outlets in a block, replicas in a block of products, and draws made at a time.
+OUTLETS, SLICE, DRAWS = 2048, 200, 1 << 20
+_MASK = np.uint64(0xFFFFFFFF)
+
 
 def hashed(*parts: Column) -> Column:
     """32 bits of md5 of the parts joined by a bar, as a long."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *(p.cast("string") for p in parts))), 1, 8), 16, 10).cast("long")
 
 
-def weights(links: DataFrame, replicas: int = REPLICAS, seed: int = SEED) -> DataFrame:
-    """``(item, outlet, replica, weight)`` of the outlets that a replica drew; n draws from an item's own roster."""
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A permutation of 32-bit numbers that looks random: a linear step, a shift by its own high bits, a product."""
+    state = (x * np.uint64(747796405) + np.uint64(2891336453)) & _MASK
+    word = (((state >> ((state >> np.uint64(28)) + np.uint64(4))) ^ state) * np.uint64(277803737)) & _MASK
+    return (word >> np.uint64(22)) ^ word
+
+
+def draw_counts(stream: int, n: int, first: int, last: int) -> np.ndarray:
+    """How often replicas ``first`` to ``last`` - 1 drew each of ``n`` outlets in ``n`` draws; ``stream`` is the item's own number."""
+    replica = mixed((np.uint64(stream) + np.arange(first, last, dtype=np.uint64)) & _MASK)
+    counts = np.zeros((last - first) * n, np.int64)
+    row = (np.arange(last - first) * n)[:, None]
+    for start in range(0, n, DRAWS):
+        draw = mixed((np.arange(start, min(n, start + DRAWS), dtype=np.uint64) + np.uint64(0x9E3779B9)) & _MASK)
+        place = (mixed(replica[:, None] ^ draw) * np.uint64(n)) >> np.uint64(32)
+        counts += np.bincount((place.astype(np.int64) + row).ravel(), minlength=len(counts))
+    return counts.reshape(-1, n)
+
+
+def _roster(links: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """``(item, outlet, place)`` numbered from 0, and ``(item, n, stream)``."""
     outlets = links.select("item", "outlet").distinct()
-    roster = outlets.withColumn("place", F.row_number().over(Window.partitionBy("item").orderBy("outlet")) - 1)
-    sizes = outlets.groupBy("item").agg(F.count("*").alias("n"))
-    replica = links.sparkSession.range(replicas).select(F.col("id").cast("int").alias("replica"))
-    draws = sizes.crossJoin(F.broadcast(replica)).select("item", "n", "replica", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("draw"))
-    place = F.floor(hashed(F.lit(seed), F.col("item"), F.col("replica"), F.col("draw")) * F.col("n") / F.lit(4294967296)).cast("int")
-    counted = draws.select("item", "replica", place.alias("place")).groupBy("item", "replica", "place").agg(F.count("*").alias("weight"))
-    return counted.join(roster, ["item", "place"]).select("item", "outlet", "replica", "weight")
+    placed = outlets.withColumn("place", F.row_number().over(Window.partitionBy("item").orderBy("outlet")) - 1)
+    return placed, placed.groupBy("item").agg(F.count("*").alias("n")).withColumn("stream", hashed(F.lit(seed), F.col("item")))
+
+
+def _counted(sizes: DataFrame, replicas: int, kind: str) -> DataFrame:
+    """``(item, block, slice, first, width, counts)``: draws of some replicas per outlet of a block, one row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, r in enumerate(batch.to_pylist()):
+                stop = min(replicas, (r["slice"] + 1) * SLICE)
+                step = max(1, DRAWS // r["n"])
+                for first in range(r["slice"] * SLICE, stop, step):
+                    counts = draw_counts(r["stream"], r["n"], first, min(stop, first + step))
+                    cut = [counts[:, a : a + OUTLETS] for a in range(0, r["n"], OUTLETS)]
+                    width = [1 if c.max(initial=0) < 256 else 8 for c in cut]
+                    data = [c.astype("<u1" if w == 1 else "<i8").tobytes() for c, w in zip(cut, width, strict=True)]
+                    item = pa.concat_arrays([batch.column("item").slice(i, 1)] * len(cut))
+                    one = lambda x: pa.array(np.full(len(cut), x), pa.int32())  # noqa: B023, E731
+                    yield pa.RecordBatch.from_arrays([item, pa.array(np.arange(len(cut)), pa.int32()), one(r["slice"]), one(first), pa.array(width, pa.int32()), pa.array(data, pa.binary())], names=["item", "block", "slice", "first", "width", "counts"])
+
+    slices = F.explode(F.sequence(F.lit(0), F.lit((replicas - 1) // SLICE))).alias("slice")
+    return sizes.select("item", "n", "stream", slices).repartition("item", "slice").mapInArrow(run, f"item {kind}, block int, slice int, first int, width int, counts binary")
+
+
+def _products(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Sums and counts of links at each period of a block of outlets (left), weighted by the draws of its replicas (right), a row a slice."""
+    ords = np.unique(left.column("ord").to_numpy())
+    sides = [np.zeros((OUTLETS, len(ords))) for _ in range(2)]
+    at = left.column("place").to_numpy() % OUTLETS, np.searchsorted(ords, left.column("ord").to_numpy())
+    for side, name in zip(sides, ("total", "n"), strict=True):
+        side[at] = left.column(name).to_numpy(zero_copy_only=False)
+    out = []
+    own = right.sort_by([("slice", "ascending"), ("first", "ascending")]).to_pylist()
+    for number in sorted({r["slice"] for r in own}):
+        parts = [np.frombuffer(r["counts"], "<u1" if r["width"] == 1 else "<i8") for r in own if r["slice"] == number]
+        firsts = [r["first"] for r in own if r["slice"] == number]
+        outlets = int(left.column("outlets")[0].as_py())
+        counts = np.concatenate([p.reshape(-1, outlets) for p in parts]).astype(np.float64)
+        out.append({"slice": number, "first": firsts[0], "ords": ords.tolist(), "total": (counts @ sides[0][:outlets]).tobytes(), "n": (counts @ sides[1][:outlets]).tobytes()})
+    item = left.column("item").combine_chunks().slice(0, 1)
+    rows = pa.Table.from_pylist(out, pa.schema([("slice", pa.int32()), ("first", pa.int32()), ("ords", pa.list_(pa.int64())), ("total", pa.binary()), ("n", pa.binary())]))
+    return rows.add_column(0, "item", pa.concat_arrays([item] * len(out)) if out else item.slice(0, 0))
+
+
+def _aligned(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Products of several blocks of outlets added at the periods of all of them."""
+    ords = np.unique(np.concatenate([np.array(r["ords"], np.int64) for r in rows]))
+    height = len(rows[0]["n"]) // 8 // max(1, len(rows[0]["ords"]))
+    sums = [np.zeros((height, len(ords))) for _ in range(2)]
+    for r in rows:
+        at = np.searchsorted(ords, r["ords"])
+        for side, name in zip(sums, ("total", "n"), strict=True):
+            side[:, at] += np.frombuffer(r[name]).reshape(height, -1)
+    return ords, *sums
+
+
+def _added(key: tuple, table: pa.Table) -> pa.Table:
+    """One slice of replicas: its products over all blocks of outlets."""
+    rows = table.sort_by("block").to_pylist()
+    ords, total, n = _aligned(rows)
+    made = pa.Table.from_pylist([{"slice": rows[0]["slice"], "ords": ords.tolist(), "total": total.tobytes(), "n": n.tobytes()}], pa.schema([("slice", pa.int32()), ("ords", pa.list_(pa.int64())), ("total", pa.binary()), ("n", pa.binary())]))
+    return made.add_column(0, "item", table.column("item").combine_chunks().slice(0, 1))
+
+
+def _summed(links: DataFrame, replicas: int, seed: int) -> tuple[DataFrame, str]:
+    """``(item, slice, ords, total, n)``: weighted sums and counts of links, replicas x periods as bytes; and the item's type."""
+    ship(links.sparkSession)
+    kind = dict(links.dtypes)["item"]
+    placed, sizes = _roster(links, seed)
+    # Sums and counts are taken per outlet first, as a weight multiplies both.
+    own = links.groupBy("item", "outlet", "ord").agg(F.sum("log_rel").alias("total"), F.count("log_rel").cast("double").alias("n"))
+    width = sizes.select("item", F.col("n").alias("all"))
+    matrix = own.join(placed, ["item", "outlet"]).join(width, "item")
+    block = F.floor(F.col("place") / OUTLETS).cast("int")
+    matrix = matrix.select("item", block.alias("block"), F.col("place").cast("long").alias("place"), F.col("ord").cast("long").alias("ord"), F.coalesce("total", F.lit(0.0)).alias("total"), "n", F.least(F.col("all") - block * OUTLETS, F.lit(OUTLETS)).alias("outlets"))
+    drawn = _counted(sizes, replicas, kind)
+    shape = f"item {kind}, slice int, first int, ords array<bigint>, total binary, n binary"
+
+    def products(key, left, right):
+        if not (left.num_rows and right.num_rows):
+            return pa.table({c: pa.array([], t) for c, t in (("item", left.schema.field("item").type), ("slice", pa.int32()), ("first", pa.int32()), ("ords", pa.list_(pa.int64())), ("total", pa.binary()), ("n", pa.binary()), ("block", pa.int32()))})
+        made = _products(key, left, right)
+        return made.append_column("block", pa.array([left.column("block")[0].as_py()] * made.num_rows, pa.int32()))
+
+    pieces = matrix.groupBy("item", "block").cogroup(drawn.groupBy("item", "block")).applyInArrow(products, shape + ", block int")
+    return pieces.groupBy("item", "slice").applyInArrow(_added, f"item {kind}, slice int, ords array<bigint>, total binary, n binary"), kind
+
+
+def _levels(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Periods, and per replica and period the running sum of weighted means; not a number where a replica drew no outlet of a link."""
+    ords = np.unique(np.concatenate([np.array(r["ords"], np.int64) for r in rows]))
+    out = []
+    for r in sorted(rows, key=lambda r: r["slice"]):
+        at = np.searchsorted(ords, r["ords"])
+        total, n = (np.frombuffer(r[c]).reshape(-1, len(r["ords"])) for c in ("total", "n"))
+        mean = np.full((len(n), len(ords)), np.nan)
+        mean[:, at] = np.where(n > 0, total / np.where(n > 0, n, 1), np.nan)
+        out.append(np.where(np.isnan(mean), np.nan, np.nancumsum(mean, axis=1)))
+    return ords, np.concatenate(out)
 
 
-def replicas_of(links: DataFrame, replicas: int = REPLICAS, seed: int = SEED) -> DataFrame:
-    """``(item, replica, ord, log_index)``: running sum of each replica's weighted link means.
+def interval(links: DataFrame, replicas: int = REPLICAS, seed: int = SEED, log: bool = False) -> DataFrame:
+    """``(item, ord, low, high, error, replicas)``: exact 2.5 and 97.5 percentiles and sample deviation over replicas.
 
-    Sums and counts are taken per outlet first, as a weight multiplies both. A replica that drew no
-    outlet of a link has no row there.
+    ``links`` (item, outlet, ord, log_rel). A replica that drew no outlet of a link isn't counted at its period; a null
+    relative counts as no link, though its outlet is in the roster. The deviation of one replica is null.
     """
-    own = links.groupBy("item", "outlet", "ord").agg(F.sum("log_rel").alias("total"), F.count("log_rel").alias("n"))
-    means = own.join(weights(links, replicas, seed), ["item", "outlet"]).groupBy("item", "replica", "ord").agg((F.sum(F.col("weight") * F.col("total")) / F.sum(F.col("weight") * F.col("n"))).alias("mean_rel"))
-    line = Window.partitionBy("item", "replica").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    return means.select("item", "replica", "ord", F.sum("mean_rel").over(line).alias("log_index"))
+    sums, kind = _summed(links, replicas, seed)
 
+    def ends(key: tuple, table: pa.Table) -> pa.Table:
+        ords, level = _levels(table.to_pylist())
+        level = level if log else np.exp(level) * 100
+        rows = []
+        for place, column in zip(ords.tolist(), level.T, strict=True):
+            seen = column[~np.isnan(column)]
+            if len(seen):
+                low, high = np.percentile(seen, [2.5, 97.5])
+                rows.append({"ord": place, "low": float(low), "high": float(high), "error": float(seen.std(ddof=1)) if len(seen) > 1 else None, "replicas": len(seen)})
+        made = pa.Table.from_pylist(rows, pa.schema([("ord", pa.int64()), ("low", pa.float64()), ("high", pa.float64()), ("error", pa.float64()), ("replicas", pa.int64())]))
+        item = table.column("item").combine_chunks().slice(0, 1)
+        return made.add_column(0, "item", pa.concat_arrays([item] * len(rows)) if rows else item.slice(0, 0))
 
-def interval(links: DataFrame, replicas: int = REPLICAS, seed: int = SEED, log: bool = False) -> DataFrame:
-    """``(item, ord, low, high, error, replicas)``: exact 2.5 and 97.5 percentiles and sample deviation over replicas."""
-    level = F.col("log_index") if log else F.exp("log_index") * 100
-    return replicas_of(links, replicas, seed).withColumn("level", level).groupBy("item", "ord").agg(
-        F.percentile("level", F.lit(0.025)).alias("low"), F.percentile("level", F.lit(0.975)).alias("high"), F.stddev("level").alias("error"), F.count("*").alias("replicas")
-    )
+    made = sums.groupBy("item").applyInArrow(ends, f"item {kind}, ord bigint, low double, high double, error double, replicas bigint")
+    return made.withColumn("ord", F.col("ord").cast(dict(links.dtypes)["ord"]))
+
+
+def replicas_of(links: DataFrame, replicas: int = REPLICAS, seed: int = SEED) -> DataFrame:
+    """``(item, replica, ord, log_index)``: the running sum of every replica, unfolded from the sums of ``interval``; a large table."""
+    sums, kind = _summed(links, replicas, seed)
+
+    def unfolded(key: tuple, table: pa.Table) -> pa.Table:
+        ords, level = _levels(table.to_pylist())
+        a, b = np.nonzero(~np.isnan(level))
+        item = table.column("item").combine_chunks().slice(0, 1)
+        return pa.table({"item": pa.concat_arrays([item] * len(a)) if len(a) else item.slice(0, 0), "replica": pa.array(a, pa.int32()), "ord": pa.array(ords[b], pa.int64()), "log_index": pa.array(level[a, b])})
+
+    return sums.groupBy("item").applyInArrow(unfolded, f"item {kind}, replica int, ord bigint, log_index double")
 
 
 def filled(interval: DataFrame, calendar: DataFrame, at_base: tuple[float, float, float] = (100.0, 100.0, 0.0)) -> DataFrame:

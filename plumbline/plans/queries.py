@@ -148,8 +148,10 @@ def estimator_contrast(spark, sf_dir):
 
 DRAWN = """, roster as (select item, outlet, row_number() over (partition by item order by outlet)-1 i from (select distinct item, outlet from links)),
 sizes as (select item, count(*) n from roster group by 1),
-draws as (select item, cast(r.range as int) rep, cast(floor(('0x'||substr(md5(concat_ws('|','20240101',item,r.range,d.draw)),1,8))::bigint*n/4294967296) as bigint) i
-  from (select item, n, unnest(range(n)) draw from sizes) d, range(2000) r),
+a as (select *, xor(w>>22, w) a from (select *, (xor(s>>((s>>28)+4), s)*277803737)&4294967295 w from (select item, n, cast(r.range as int) rep, (((('0x'||substr(md5('20240101|'||item),1,8))::bigint+r.range)&4294967295)*747796405+2891336453)&4294967295 s from sizes, range(2000) r))),
+b as (select *, xor(w>>22, w) b from (select *, (xor(s>>((s>>28)+4), s)*277803737)&4294967295 w from (select r.range draw, (((r.range+2654435769)&4294967295)*747796405+2891336453)&4294967295 s from range((select max(n) from sizes)) r))),
+h as (select *, (xor(s>>((s>>28)+4), s)*277803737)&4294967295 w from (select item, n, rep, (xor(a,b)*747796405+2891336453)&4294967295 s from a join b on draw<n)),
+draws as (select item, rep, (xor(w>>22, w)*n)>>32 i from h),
 w as (select draws.item, rep, outlet, count(*) weight from draws join roster using (item, i) group by 1,2,3),
 own as (select item, outlet, ord, sum(log_rel) s, count(*) c from links group by 1,2,3),
 means as (select own.item, rep, ord, sum(weight*s)/sum(weight*c) m from own join w on own.item=w.item and own.outlet=w.outlet group by 1,2,3),

@@ -76,10 +76,56 @@ def test_bootstrap_doesnt_depend_on_partitions(spark):
     assert one == two and one
 
 
-def test_bootstrap_weights_sum_to_the_roster(spark):
-    links = P.links(cells_of(spark, random_rows(6)))
-    n = {r["item"]: r["n"] for r in links.groupBy("item").agg(F.count_distinct("outlet").alias("n")).collect()}
-    assert all(r.w == n[r.item] for r in bootstrap.weights(links, 5).groupBy("item", "replica").agg(F.sum("weight").alias("w")).collect())
+def plain_mix(x):
+    s = (x * 747796405 + 2891336453) % 2**32
+    w = (((s >> ((s >> 28) + 4)) ^ s) * 277803737) % 2**32
+    return (w >> 22) ^ w
+
+
+def plain_draws(stream, n, replica):
+    a = plain_mix((stream + replica) % 2**32)
+    return [plain_mix(a ^ plain_mix((d + 0x9E3779B9) % 2**32)) * n >> 32 for d in range(n)]
+
+
+def test_draws_equal_plain_version(monkeypatch):
+    for draws in (1 << 20, 7):
+        monkeypatch.setattr(bootstrap, "DRAWS", draws)
+        counts = bootstrap.draw_counts(4294967290, 23, 3, 11)
+        assert (counts.sum(1) == 23).all()
+        assert counts.tolist() == [[plain_draws(4294967290, 23, r).count(o) for o in range(23)] for r in range(3, 11)]
+
+
+def test_interval_equals_plain_version_over_blocks(spark):
+    """More outlets than a block has, more replicas than a slice, a null relative and a null item."""
+    rng = random.Random(9)
+    rows = [(f"o{o:05}", "big", t, rng.gauss(0, 1)) for o in range(bootstrap.OUTLETS + 500) for t in (2, 5) if rng.random() < 0.8]
+    rows += [("o1", "small", 3, 0.5), ("o2", "small", 3, None), ("o2", "small", 4, 0.25), ("o1", None, 3, 0.5)]
+    links = spark.createDataFrame(rows, "outlet string, item string, ord int, log_rel double")
+    replicas = bootstrap.SLICE + 40
+    got = {(r.item, r.ord): r for r in bootstrap.interval(links, replicas, log=True).collect()}
+    stream = {r["item"]: r.h for r in links.filter("item is not null").select("item", bootstrap.hashed(F.lit(bootstrap.SEED), F.col("item")).alias("h")).distinct().collect()}
+    assert {k for k, _ in got} == {"big", "small"}
+    for item in ("big", "small"):
+        roster = sorted({o for o, i, *_ in rows if i == item})
+        values = {}
+        for r in range(replicas):
+            drawn, level = [0] * len(roster), 0.0
+            for place in plain_draws(stream[item], len(roster), r):
+                drawn[place] += 1
+            weight = dict(zip(roster, drawn, strict=True))
+            for t in sorted({t for _, i, t, _ in rows if i == item}):
+                own = [(weight[o], x) for o, i, u, x in rows if i == item and u == t and x is not None]
+                if n := sum(w for w, _ in own):
+                    level += sum(w * x for w, x in own) / n
+                    values.setdefault(t, []).append(level)
+        for t, v in values.items():
+            v.sort()
+            at = lambda p: v[int(p * (len(v) - 1))] + (p * (len(v) - 1) % 1) * (v[min(len(v) - 1, int(p * (len(v) - 1)) + 1)] - v[int(p * (len(v) - 1))])  # noqa: B023, E731
+            x = got[item, t]
+            assert (x.replicas, x.low, x.high) == (len(v), pytest.approx(at(0.025)), pytest.approx(at(0.975)))
+    unfolded = bootstrap.replicas_of(links, 5).groupBy("item", "ord").count().collect()
+    assert {(r.item, r.ord): r["count"] for r in unfolded if r.item == "big"} == {("big", 2): 5, ("big", 5): 5}
+    assert bootstrap.interval(links.limit(0), 5).count() == 0
 
 
 def test_interval_read_out(spark):
