@@ -20,7 +20,8 @@ def ordinal_of_date(date: Column) -> Column:
 
 
 def start(label: Column) -> Column:
-    return F.to_date(F.concat(F.substring(label, 1, 7), F.when(label.endswith("q2"), "-16").otherwise("-01")))
+    """The first day of a half: the month's first, or as many days later as a first half has."""
+    return F.date_add(F.to_date(F.left(label, F.lit(7)), "yyyy-MM"), (F.right(label, F.lit(1)).cast("int") - 1) * 15)
 
 
 def ordinal(label: Column) -> Column:
@@ -47,4 +48,5 @@ def between(spark: SparkSession, first_month: str, last_month: str) -> DataFrame
 
 
 def month_start(year: Column, month: Column) -> Column:
-    return F.to_date(F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lit("01")))
+    """A month's first day, from numbers or their text."""
+    return F.make_date(year.cast("int"), month.cast("int"), F.lit(1))

@@ -5,26 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEVELS = {"outlet": ("outlet",), "chain": ("chain",), "municipality": ("state", "municipality"), "state": ("state",)}
-
+from plumbline.operators import cuts
 
-def entities(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Distinct outlets, chains, (state, municipality) pairs and states, one row per group and level."""
-    counts = {name: F.count_distinct(*cols) if len(cols) == 1 else F.count_distinct(F.struct(*cols)) for name, cols in LEVELS.items()}
-    wide = rows.groupBy(*by).agg(*(c.alias(f"n_{n}") for n, c in counts.items()))
-    pairs = ", ".join(f"'{n}', n_{n}" for n in LEVELS)
-    return wide.selectExpr(*by, f"stack({len(LEVELS)}, {pairs}) as (level, n)")
+LEVELS = {"outlet": ("outlet",), "chain": ("chain",), "municipality": ("state", "municipality"), "state": ("state",)}
 
 
 def coverage(links: DataFrame, cells: DataFrame) -> DataFrame:
     """Per level: entities observed and matched, and the median over links of matched by observed.
 
-    Both inputs carry outlet, chain, state, municipality. A null attribute isn't an entity at its own level.
+    Both inputs carry outlet, chain, state, municipality, and the links' outlets are among the cells'. A null attribute isn't
+    an entity at its own level. Entities are bits of bitmaps by period, merged for the totals; rows are read once.
     """
-    seen, used = entities(cells, ["ord"]), entities(links, ["ord"])
-    share = used.withColumnRenamed("n", "matched").join(seen.withColumnRenamed("n", "observed"), ["ord", "level"]).groupBy("level").agg(F.median(F.col("matched") / F.col("observed")).alias("coverage"))
-    total = entities(cells, []).withColumnRenamed("n", "observed").join(entities(links, []).withColumnRenamed("n", "matched"), "level")
-    return total.join(share, "level").select("level", "observed", "matched", "coverage")
+    numbers = cuts.entity_numbers(cells.select("outlet", "chain", "state", "municipality").distinct(), LEVELS)
+    seen, used = cuts.entity_bitmaps(cells, numbers, LEVELS), cuts.entity_bitmaps(links, numbers, LEVELS)
+    of = lambda bitmaps, by, name: cuts.merged(bitmaps, by).withColumnRenamed("n", name)
+    share = of(used, ["ord"], "matched").join(of(seen, ["ord"], "observed"), ["ord", "level"]).groupBy("level").agg(F.median(F.col("matched") / F.col("observed")).alias("coverage"))
+    return of(seen, [], "observed").join(of(used, [], "matched"), "level").join(share, "level").select("level", "observed", "matched", "coverage")
 
 
 def full_panel_outlets(cells: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def versioned(table: DataFrame, aliases: dict[str, str] | None = None, zone: str
     for old, new in (aliases or {}).items():
         name = F.when(F.col(zone) == old, F.lit(new)).otherwise(name)
     rows = table.withColumn("zone_literal", F.col(zone)).withColumn(zone, name)
-    return rows.join(F.broadcast(validity(rows)), "valid_from").withColumn("is_current", F.col("valid_to") == F.lit(OPEN_END).cast("date"))
+    return rows.join(validity(rows), "valid_from").withColumn("is_current", F.col("valid_to") == F.lit(OPEN_END).cast("date"))
 
 
 def valid_at(rows: DataFrame, dim: DataFrame, on: str, date: str) -> DataFrame:

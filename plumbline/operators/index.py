@@ -9,8 +9,8 @@ THRESHOLD, FLOOR = 30.0, 10
 
 
 def per_period(links: DataFrame, by: list[str]) -> DataFrame:
-    """Mean log relative and matched outlets of each group and period; every cell counts once."""
-    return links.groupBy(*by, "ord").agg(F.avg("log_rel").alias("mean_rel"), F.count_distinct("outlet").alias("matched"), F.count("*").alias("cells"))
+    """Mean log relative and matched outlets of each group and period; every cell counts once, one with a null relative not at all."""
+    return links.filter(F.col("log_rel").isNotNull()).groupBy(*by, "ord").agg(F.avg("log_rel").alias("mean_rel"), F.count_distinct("outlet").alias("matched"), F.count("*").alias("cells"))
 
 
 def publishable(effective: Column, least: Column, threshold: float = THRESHOLD, floor: int = FLOOR) -> Column:

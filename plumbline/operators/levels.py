@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators import selection
+
 
 def price_levels(cells: DataFrame, by: list[str], least_outlets: int = 0) -> DataFrame:
     """Mean and median cell price, ratio of the 90th to the 10th percentile, observed outlets.
 
-    ``least_outlets`` leaves out groups seen in fewer outlets.
+    ``least_outlets`` leaves out groups seen in fewer outlets. Prices are decimals of four digits, as ``panel.cells`` makes them;
+    percentiles are exact, selected from counts of equal prices.
     """
     price = F.col("price").cast("double")
-    low, high = F.percentile(price, F.lit(0.1)), F.percentile(price, F.lit(0.9))
-    out = cells.groupBy(*by).agg(F.avg(price).alias("mean_price"), F.median(price).alias("median_price"), F.try_divide(high, low).alias("p90_p10"), F.count_distinct("outlet").alias("outlets"))
-    return out.filter(F.col("outlets") >= least_outlets)
+    whole = cells.groupBy(*by).agg(F.avg(price).alias("mean_price"), F.count_distinct("outlet").alias("outlets")).filter(F.col("outlets") >= least_outlets)
+    shares = selection.percentiles(selection.value_counts(cells, by, "price"), by, {"_p10": 0.1, "median_price": 0.5, "_p90": 0.9})
+    named = shares.select(*(F.col(c).alias(f"_{c}") for c in by), "_p10", "median_price", "_p90")
+    rows = whole.join(named, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], "left") if by else whole.join(F.broadcast(named), F.lit(True), "left")
+    return rows.select(*by, "mean_price", "median_price", F.try_divide("_p90", "_p10").alias("p90_p10"), "outlets")
 
 
 def open_close(cells: DataFrame, by: list[str], least_outlets: int = 5) -> DataFrame:

@@ -40,7 +40,7 @@ def links(cells: DataFrame) -> DataFrame:
     """``(outlet, item, ord, log_rel)`` where a cell's outlet and item also have the period before.
 
     One shuffle on (outlet, item). Outlets may come and go; the first period has no link; prices that
-    aren't positive are left to the gates and give a null or infinite relative here.
+    aren't positive are left to the gates and give a null relative here, which no measure counts.
     """
     line = Window.partitionBy("outlet", "item").orderBy("ord")
     before = cells.select("outlet", "item", "ord", "price", F.lag("ord").over(line).alias("ord_before"), F.lag("price").over(line).alias("price_before"))

@@ -127,7 +127,7 @@ def upserted_table(spark, sf_dir):
     sinks.upsert(old, path, ["c_custkey"])
     batch = old.filter("c_custkey % 3 = 0").select("c_custkey", (F.col("balance") + 1).alias("balance"), F.lit("new").alias("origin"))
     sinks.upsert(batch, path, ["c_custkey"])
-    return spark.read.parquet(path).select("c_custkey", "balance", "segment", "origin")
+    return sinks.upserted(spark, path).select("c_custkey", "balance", "segment", "origin")
 
 
 @registered("select o_orderkey, cast(year(o_orderdate) as int) as year from orders where year(o_orderdate) <> 1995 and (year(o_orderdate) <> 1994 or o_orderkey%2=0)")

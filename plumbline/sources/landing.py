@@ -5,10 +5,12 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.sources.files import described
+
 # What the bytes 0x80 to 0x9F mean in code page 1252; five of them mean nothing.
 CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 CP1252_BYTES = "\x80\x82\x83\x84\x85\x86\x87\x88\x89\x8a\x8b\x8c\x8e\x91\x92\x93\x94\x95\x96\x97\x98\x99\x9a\x9b\x9c\x9e\x9f"
@@ -37,10 +39,25 @@ def manifest(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
 
 
 def parquet_landing(spark: SparkSession, paths: Sequence[str], manifest: DataFrame, file: str = "file", lineage: Sequence[str] = ("period", "attempt", "sha256")) -> DataFrame:
-    """Landed Parquet files with the manifest's lineage columns, joined on the file's name."""
-    rows = spark.read.parquet(*paths).withColumn("_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
-    known = manifest.select(F.col(file).alias("_file"), *(F.col(c).alias(f"_{c}") for c in lineage))
-    return rows.join(known, "_file", "left").drop("_file")
+    """Landed Parquet files with the manifest's lineage columns, each file finding its own row of the manifest.
+
+    The manifest names a file by its whole path or by the end of it, from some folder on. A file that no row names, or that
+    more than one names, raises, as does a name that fits two of the files: no row goes without its lineage, and none
+    with another's. One small row a file is compared; the files' rows then join on the whole path.
+    """
+    files = spark.read.format("binaryFile").load(list(paths)).select(F.col("_metadata.file_path").alias("_uri"), "path")
+    known = manifest.select(F.col(file).alias("_name"), *(F.col(c).alias(f"_{c}") for c in lineage))
+    tail = lambda c: F.element_at(F.split(c, "/"), -1)
+    ends = (F.col("path") == F.col("_name")) | F.col("path").endswith(F.concat(F.lit("/"), F.regexp_replace("_name", "^/+", "")))
+    met = files.withColumn("_tail", tail(F.col("path"))).join(known.withColumn("_tail", tail(F.col("_name"))), "_tail", "left").withColumn("_fits", F.coalesce(ends, F.lit(False)))
+    counted = met.groupBy("_uri", "path").agg(F.count_if("_fits").alias("n"))
+    named = met.filter("_fits").groupBy("_name").agg(F.count_distinct("_uri").alias("n"))
+    for rows, what in ((counted.filter("n <> 1").select(F.col("path").alias("x"), "n"), "files with no row of the manifest, or several"), (named.filter("n > 1").select(F.col("_name").alias("x"), "n"), "names that fit several files")):
+        wrong = [f"{r.x} ({r.n})" for r in rows.limit(3).collect()]
+        if wrong:
+            raise ValueError(f"{what}: {', '.join(wrong)}")
+    own = met.filter("_fits").select("_uri", *(f"_{c}" for c in lineage))
+    return spark.read.parquet(*paths).withColumn("_uri", F.col("_metadata.file_path")).join(own, "_uri").drop("_uri")
 
 
 def csv_landing(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -49,20 +66,23 @@ def csv_landing(spark: SparkSession, paths: str | Sequence[str], columns: Sequen
     return rows.select(*(F.coalesce(c, F.lit("")).alias(c) for c in columns))
 
 
-def json_series(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """One row per observation of nested series JSON, with the series' frequency and unit."""
-    schema = "Series array<struct<INDICADOR string, FREQ string, UNIT string, LASTUPDATE string, OBSERVATIONS array<struct<TIME_PERIOD string, OBS_VALUE string>>>>"
+def json_series(spark: SparkSession, path: str | Sequence[str], names: dict[str, str] | None = None) -> DataFrame:
+    """One row per observation of nested series JSON: period, value, freq, unit, all text.
+
+    ``names`` says what a feed calls the list of series, its frequency, unit and observations, and an observation's period and
+    value; defaults are those of the CPI feed. Only the first series counts; none, or none observed, gives no row.
+    """
+    call = {"series": "Series", "freq": "FREQ", "unit": "UNIT", "observations": "OBSERVATIONS", "period": "TIME_PERIOD", "value": "OBS_VALUE"} | (names or {})
+    schema = "`{series}` array<struct<`{freq}` string, `{unit}` string, `{observations}` array<struct<`{period}` string, `{value}` string>>>>".format(**call)
     rows = spark.read.schema(schema).option("multiLine", True).json(path if isinstance(path, str) else list(path))
-    first = rows.select(F.col("Series")[0].alias("s")).filter("s is not null")
-    return first.select("s.FREQ", "s.UNIT", F.inline("s.OBSERVATIONS")).select(F.col("TIME_PERIOD").alias("period"), F.col("OBS_VALUE").alias("value"), F.col("FREQ").alias("freq"), F.col("UNIT").alias("unit"))
+    first = rows.select(F.get(call["series"], F.lit(0)).alias("s")).filter("s is not null")
+    seen = first.select(F.col("s")[call["freq"]].alias("freq"), F.col("s")[call["unit"]].alias("unit"), F.explode(F.col("s")[call["observations"]]).alias("o"))
+    return seen.select(F.col("o")[call["period"]].alias("period"), F.col("o")[call["value"]].alias("value"), "freq", "unit")
 
 
 def encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``(path, encoding, header)`` per file: utf-8 if the whole file is, else cp1252 if every byte means something there, else null; header: the first line's bytes."""
-    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    latin = F.decode("content", "iso-8859-1")
-    header = F.encode(F.regexp_extract(latin, r"\A[^\r\n]*", 0), "iso-8859-1")
-    return files.select("path", F.when(F.is_valid_utf8(F.col("content").cast("string")), "utf-8").when(~latin.rlike(_CP1252_GAP), "cp1252").alias("encoding"), header.alias("header"))
+    """``(path, encoding, header)`` per file of any size: utf-8 if the whole file is, else cp1252 if every byte means something there, else null; header: the first line's bytes."""
+    return described(spark, paths, _CP1252_GAP)
 
 
 def from_cp1252(column: str):
@@ -70,13 +90,17 @@ def from_cp1252(column: str):
     return F.translate(column, CP1252_BYTES, CP1252)
 
 
-def checked_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+MISFIT = "_misfit"
+
+
+def checked_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], misfits: bool = False) -> DataFrame:
     """The named columns of CSV files, each file read as what it is encoded in, with an ``encoding`` column.
 
     Columns are found by each file's own header, wherever they stand; others are dropped and a missing
-    one raises. Quoted values may hold line feeds; byte-order marks and CRLF are absorbed. The driver
+    one raises. Quoted values may hold line feeds, a header's may not; byte-order marks and CRLF are absorbed. The driver
     sees one small row per file, and files of one encoding and header are read together. A file that
-    is neither utf-8 nor cp1252 raises.
+    is neither utf-8 nor cp1252 raises. A record with too few or too many fields raises when it is read; with ``misfits`` it
+    comes with the fields it has, and the column ``_misfit`` tells it, so that a gate can count such records.
     """
     kinds: dict[tuple[str, bytes], list[str]] = {}
     for r in encodings(spark, paths).collect():
@@ -90,9 +114,13 @@ def checked_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str
         if missing:
             raise ValueError(f"columns missing from {own[0]}: {missing}")
         places = [f"c{i}" for i in range(len(header))]
-        rows = spark.read.schema(text_schema(places)).option("header", True).option("encoding", "UTF-8" if name == "utf-8" else "ISO-8859-1").option("multiLine", True).option("escape", '"').csv(own)
+        rows = spark.read.schema(text_schema([*places, MISFIT])).option("header", True).option("encoding", "UTF-8" if name == "utf-8" else "ISO-8859-1").option("multiLine", True).option("escape", '"').option("columnNameOfCorruptRecord", MISFIT).csv(own)
         value = from_cp1252 if name == "cp1252" else F.col
-        part = rows.select(*(F.regexp_replace(F.coalesce(value(places[header.index(c)]), F.lit("")), "\r$", "").alias(c) for c in columns), F.lit(name).alias("encoding"))
+        bad = F.col(MISFIT).isNotNull()
+        told = bad if misfits else F.when(bad, F.raise_error(F.concat(F.lit("fields too few or too many: "), F.left(F.col(MISFIT), F.lit(200))))).otherwise(False)
+        tidy = [F.regexp_replace(F.coalesce(value(places[header.index(c)]), F.lit("")), "\r$", "").alias(c) for c in columns]
+        part = rows.select(*tidy, F.lit(name).alias("encoding"), told.cast("boolean").alias(MISFIT))
+        part = part if misfits else part.filter(~F.col(MISFIT)).drop(MISFIT)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], text_schema([*columns, "encoding"]))
 
@@ -115,6 +143,15 @@ def ordered(df: DataFrame) -> DataFrame:
     return df.orderBy(*df.columns)
 
 
+def placed(df: DataFrame, name: str = "place") -> DataFrame:
+    """An ordered table with each row's place, from 0: rows are numbered in their task, and tasks by one small row each."""
+    ids = F.monotonically_increasing_id()
+    rows = df.withColumn("_id", ids).withColumn("_task", F.shiftright("_id", 33)).withColumn("_inner", F.col("_id") - F.shiftleft("_task", 33))
+    sizes = rows.groupBy("_task").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(F.broadcast(sizes.select("_task", before.alias("_before"))), "_task").select((F.col("_inner") + F.col("_before")).alias(name), *df.columns)
+
+
 def audited(df: DataFrame, run_id: str, lineage: dict[str, str] | None = None) -> DataFrame:
     """Typed lineage columns and the load's time and run."""
     return df.withColumns({c: F.col(c).cast(t) for c, t in (lineage or {}).items()}).withColumns({"_ingest_ts": F.current_timestamp(), "_run_id": F.lit(run_id)})

@@ -1,13 +1,12 @@
-"""Sinks over Parquet folders: strict append, period replacement, keyed upsert, snapshot, run log.
+"""Sinks over Parquet folders: strict append, append once, period replacement, keyed upsert in buckets, snapshot, run log.
 
-One writer at a time is assumed. Replaced folders are written beside the old one and renamed.
+One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,16 +31,36 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_once(df: DataFrame, path: str, source: str, batch: int | str) -> None:
+    """Append a batch under its source's name and its own; the same batch again takes the place of itself.
+
+    A run that died while or after writing can be repeated: rows of one (source, batch) stand in a folder of their own,
+    which a repeat overwrites. Schemas are compared as in ``append``. The table has two more columns, ``_source`` and ``_batch``.
+    """
+    spark = df.sparkSession
+    if exists(spark, path):
+        have = {f.name: f.dataType for f in spark.read.parquet(path).drop("_source", "_batch").schema}
+        new = {f.name: f.dataType for f in df.schema}
+        if have and have != new:
+            raise ValueError(f"schema differs from the table's: {new} against {have}")
+    df.write.mode("overwrite").parquet(f"{path}/_source={quote(str(source), safe='')}/_batch={quote(str(batch), safe='')}")
+
+
 def replace_periods(df: DataFrame, path: str, column: str, periods: Sequence) -> None:
     """Put ``df`` in place of exactly the listed periods of a table partitioned by ``column``.
 
     Periods are compared as the text that names their folder, whatever the column's type. No listed
     period: nothing happens. A row of another period raises before anything is written. A listed
-    period without a row ends up empty; it goes after the new rows are written.
+    period without a row ends up empty; it goes after the new rows are written. Columns or types that aren't the
+    table's raise before anything is written.
     """
     if not periods:
         return
     spark, asked = df.sparkSession, {str(p) for p in periods}
+    if exists(spark, path):
+        have, new = ({f.name: f.dataType for f in x.schema if f.name != column} for x in (spark.read.parquet(path), df))
+        if have and have != new:
+            raise ValueError(f"schema differs from the table's: {new} against {have}")
     name = F.col(column).cast("string")
     stray = df.filter(~F.coalesce(name.isin(*asked), F.lit(False))).limit(1).collect()
     if stray:
@@ -76,38 +95,70 @@ def upsert_actions(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataF
     return rows.select(*(F.coalesce(f"_new_{k}", f"_old_{k}").alias(k) for k in keys), *values, *(F.col("_rest")[n].alias(n) for n in others), action.alias("action"))
 
 
-def upsert(new: DataFrame, path: str, keys: Sequence[str]) -> dict[str, int]:
+#: Buckets of a new table, and the start of the name of the column that says how many it has.
+BUCKETS, BUCKET = 64, "_bucket_of_"
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    return df.withColumn(f"{BUCKET}{n}", F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int"))
+
+
+def _bucket_column(df: DataFrame) -> str | None:
+    return next((c for c in df.columns if c.startswith(BUCKET)), None)
+
+
+def upserted(spark: SparkSession, path: str) -> DataFrame:
+    """A table that ``upsert`` keeps, without its bucket column; a column that came later is null in older rows."""
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    bucket = _bucket_column(rows)
+    return rows.drop(bucket) if bucket else rows
+
+
+def _applied(spark: SparkSession, path: str) -> dict[str, int]:
+    """Replace those buckets of a table whose staged rows have a change, then forget the stage."""
+    staged = spark.read.parquet(f"{path}.staged")
+    bucket = _bucket_column(staged)
+    counted = staged.groupBy(bucket, "action").count().collect()  # three a bucket at most
+    changed = sorted({r[bucket] for r in counted if r["action"] != "keep"})
+    if changed:
+        staged.filter(F.col(bucket).isin(changed)).drop("action").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path)
+    fs, at = _fs(spark, f"{path}.staged")
+    fs.delete(at, True)
+    return {a: sum(r["count"] for r in counted if r["action"] == a) for a in ("insert", "update")}
+
+
+def upsert(new: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> dict[str, int]:
     """Apply ``upsert_actions`` to a table and count them. Unchanged input writes nothing; a first load must have rows.
 
-    A key that the batch holds twice raises. The old folder is kept beside the new one until that one is
-    in place; if a run ends between the two, the next one puts it back.
+    The table is partitioned by a hash of the key, in ``buckets`` when it is made. Only the buckets of the batch's keys are
+    read, merged once into a stage beside the table, and only those with an insert or update are replaced; files of others
+    stay as they are. A stage that is whole is applied again by the next call if a run ended before it was forgotten. A key
+    that the batch holds twice raises. Read the table by ``upserted``.
     """
-    spark = new.sparkSession
+    spark, path = new.sparkSession, path.rstrip("/")
     repeated = new.groupBy(*keys).count().filter("count > 1").limit(3).collect()
     if repeated:
         raise ValueError(f"keys repeated in the batch: {[r.asDict() for r in repeated]}")
-    fs, at = _fs(spark, path)
-    before = _fs(spark, f"{path.rstrip('/')}.before")[1]
-    if fs.exists(before):
-        if fs.exists(at):
-            fs.delete(before, True)
-        else:
-            fs.rename(before, at)
+    fs, stage = _fs(spark, f"{path}.staged")
+    if fs.exists(stage):
+        _applied(spark, path) if exists(spark, f"{path}.staged/_SUCCESS") else fs.delete(stage, True)
     if not exists(spark, path):
         if not new.limit(1).count():
             raise ValueError("a table can't be created from an empty batch")
-        new.write.parquet(path)
-        return {"insert": spark.read.parquet(path).count(), "update": 0}
-    merged = upsert_actions(spark.read.parquet(path), new, keys)
-    counts = {r["action"]: r["count"] for r in merged.groupBy("action").count().collect()}
-    done = {a: counts.get(a, 0) for a in ("insert", "update")}
-    if any(done.values()):
-        beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-        merged.drop("action").write.parquet(beside)
-        fs.rename(at, before)
-        fs.rename(_fs(spark, beside)[1], at)
-        fs.delete(before, True)
-    return done
+        _bucketed(new, keys, buckets).repartition(*keys).write.partitionBy(f"{BUCKET}{buckets}").parquet(path)
+        return {"insert": upserted(spark, path).count(), "update": 0}
+    table = spark.read.option("mergeSchema", True).parquet(path)
+    bucket = _bucket_column(table)
+    if bucket is None:
+        raise ValueError(f"no bucket column in {path}: not a table that upsert made")
+    n, kinds = int(bucket.removeprefix(BUCKET)), dict(table.dtypes)
+    batch = new.withColumns({k: F.col(k).cast(kinds[k]) for k in keys})
+    met = sorted(r[0] for r in _bucketed(batch, keys, n).select(bucket).distinct().collect())
+    if not met:
+        return {"insert": 0, "update": 0}
+    merged = upsert_actions(table.filter(F.col(bucket).isin(met)).drop(bucket), batch, keys)
+    _bucketed(merged, keys, n).write.partitionBy(bucket).parquet(f"{path}.staged")
+    return _applied(spark, path)
 
 
 def snapshot(df: DataFrame, path: str) -> dict[str, int]:
@@ -144,7 +195,7 @@ class Store:
         return f"{self.base}/{layer}/{table}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+        return upserted(self.spark, self.path(layer, table))
 
     def has(self, layer: str, table: str) -> bool:
         return exists(self.spark, self.path(layer, table))

@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.keys import differs, seal
-
-
-def fingerprints(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``(path, sha256, bytes, crc32)`` per file."""
-    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    return files.select("path", *(c.alias(n) for n, c in seal("content").items()))
+from plumbline.functions.keys import differs
+from plumbline.sources.files import fingerprints  # noqa: F401  (the seal of a batch's file)
 
 
 def rewritten(manifest: DataFrame, current: DataFrame) -> DataFrame:
