@@ -42,11 +42,16 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
-#: Block rules: characters of a short block; stop-word shares; link shares outside and inside an article.
-SHORT, STOP_LOW, STOP_HIGH, LINKS, LINKS_INSIDE = 70, 0.12, 0.30, 0.2, 0.5
+#: Of these, the names of what readers write: an element called so never is the article.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies".split())
+#: Block rules: characters of a short block; stop-word shares; link shares outside and inside an article; so many linked
+#: blocks in a row inside one are a menu.
+SHORT, STOP_LOW, STOP_HIGH, LINKS, LINKS_INSIDE, MENU = 70, 0.12, 0.30, 0.2, 0.5, 4
 
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>""", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][\w:-]*)")
+#: Where a tag ends, or a quoted value begins in it.
+STEP = re.compile(r""">|=\s*(["'])""")
 PART = re.compile(r"[A-Za-z]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -61,7 +66,7 @@ class Block:
 
 
 def _boilerplate(name: str, attributes: str, inside: bool) -> str:
-    """How surely an element is boilerplate: "sure" by tag, role or being hidden, "named" by a whole class name, "part" by a part of one, or empty."""
+    """How surely an element is boilerplate: "sure" by tag, role or being hidden, "comments" or "named" by a whole class name, "part" by a part of one, or empty."""
     if name in DROPPED_TAGS or name == "header" and not inside:
         return "sure"
     if not attributes or name in ("html", "body", "main"):
@@ -73,7 +78,8 @@ def _boilerplate(name: str, attributes: str, inside: bool) -> str:
             for token in value.split():
                 words = PART.findall(token)
                 if any(w in DROPPED_WORDS for w in words) or "header" in words and not inside:
-                    found = "named" if len(words) == 1 or found == "named" else "part"
+                    whole = len(words) == 1
+                    found = "comments" if found == "comments" or whole and words[0] in COMMENT_WORDS else "named" if whole or found == "named" else "part"
         elif key == "role" and value in DROPPED_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
             return "sure"
         elif key == "style" and re.search(r"display\s*:\s*none", value):
@@ -81,36 +87,98 @@ def _boilerplate(name: str, attributes: str, inside: bool) -> str:
     return found
 
 
-def _holds_the_text(tags: list[tuple], first: int, last: int, texts: list[int], kind: str) -> bool:
-    """Whether an element that its class names as boilerplate wraps an article or main element, is an article, or holds most of the page's text."""
-    if any(t[2] in ("article", "main") and not t[3] for t in tags[first + 1 : last]):
-        return True
-    return kind == "part" and (tags[first][2] == "article" or 2 * (texts[last] - texts[first]) > texts[-1])
+def _tags(html: str) -> list[tuple[int, int, str, bool, str]]:
+    """(start, end, name, closing, attributes) of each tag; comments have no name; script and style bodies are passed over.
 
+    One scan: a quoted value begins after an equals sign and may hold ``>``. If a value never ends, its tag ends at the first
+    ``>``; places from which a scan has failed so are remembered, so none is scanned twice.
+    """
+    found, at, dead = [], 0, set()
+    last = {q: html.rfind(q) for q in ">\"'"}
 
-def _closing(tags: list[tuple], at: int, name: str) -> int | None:
-    """Index of the tag that closes ``tags[at]``; None if nothing does."""
-    depth = 0
-    for i in range(at, len(tags)):
-        if tags[i][2] == name:
-            depth += -1 if tags[i][3] else 1
-            if not depth:
-                return i
-    return None
+    def end_of(place: int) -> int:
+        first, seen = place, []
+        while m := STEP.search(html, place):
+            if m.start() in dead:
+                break
+            if m[0] == ">":
+                return m.end()
+            seen.append(m.start())
+            if m.end() > last[m[1]]:  # the value has no end
+                break
+            place = html.index(m[1], m.end()) + 1
+        dead.update(seen)
+        return html.index(">", first) + 1
+
+    while (start := html.find("<", at)) >= 0:
+        if html.startswith("<!--", start) or html.startswith("<![CDATA[", start):
+            end = html.find("-->" if html[start + 2] == "-" else "]]>", start + 4)
+            at = end + 3 if end >= 0 else len(html)
+            found.append((start, at, "", False, ""))
+        elif start > last[">"]:  # no tag ends from here on
+            break
+        elif html[start + 1] in "!?":
+            at = html.index(">", start) + 1
+            found.append((start, at, "", False, ""))
+        elif m := NAME.match(html, start):
+            at = end_of(m.end())
+            name, closing = m[2].lower(), bool(m[1])
+            found.append((start, at, name, closing, html[m.end() : at - 1]))
+            if name in ("script", "style") and not closing:
+                end = re.compile(f"</{name}", re.I).search(html, at)
+                at = end.start() if end else len(html)
+        else:
+            at = start + 1
+    return found
 
 
-def _tags(html: str) -> list[tuple[int, int, str, bool, str]]:
-    """(start, end, name, closing, attributes) of each tag; comments have no name; script and style bodies are passed over."""
-    found, at = [], 0
-    while m := TAG.search(html, at):
-        name = (m[2] or m[5] or "").lower()
-        closing = bool(m[1] or m[4])
-        found.append((m.start(), m.end(), name, closing, m[3] or m[6] or ""))
-        at = m.end()
-        if name in ("script", "style") and not closing:
-            end = re.compile(f"</{name}", re.I).search(html, at)
-            at = end.start() if end else len(html)
-    return found
+class Outline:
+    """What holds what: each tag's closing tag, and counts of text and of article and main elements up to each tag."""
+
+    def __init__(self, html: str, tags: list[tuple]):
+        n = len(tags)
+        self.tags, self.closing = tags, [None] * n
+        opened: dict[str, list[int]] = {}
+        for i, (_, _, name, closing, _) in enumerate(tags):
+            if not closing:
+                opened.setdefault(name, []).append(i)
+            elif opened.get(name):
+                self.closing[opened[name].pop()] = i
+        self.texts, self.plain, self.mains, self.articles = [0], [0], [0], [0]
+        self.largest = -1  # of the article elements, the one with the most text
+        sure, named, until = 0, 0, -1
+        for j, (_, end, name, closing, attributes) in enumerate(tags):
+            sure = max(0, sure + (-1 if closing else 1) * (name in DROPPED_TAGS and name not in VOID_TAGS))
+            if j > until and not closing and name not in VOID_TAGS and _boilerplate(name, attributes, True) in ("named", "comments"):
+                until = self.closing[j] if self.closing[j] is not None else j
+            named = j <= until
+            upto = tags[j + 1][0] if j + 1 < n else len(html)
+            size = 0 if sure else len(html[end:upto].strip())
+            self.texts.append(self.texts[-1] + size)
+            self.plain.append(self.plain[-1] + size * (not named))
+            self.mains.append(self.mains[-1] + (name == "main" and not closing))
+            self.articles.append(self.articles[-1] + (name == "article" and not closing))
+        sizes = {i: self.plain[self.end(i)] - self.plain[i] for i, t in enumerate(tags) if t[2] == "article" and not t[3]}
+        if sizes:
+            self.largest = max(sizes, key=sizes.__getitem__)
+
+    def end(self, at: int) -> int:
+        return len(self.tags) - 1 if self.closing[at] is None else self.closing[at]
+
+    def holds_the_text(self, at: int, kind: str) -> bool:
+        """Whether an element that its class names as boilerplate is the article or wraps it, by the share of the page's text it holds.
+
+        Reader comments never do. A whole class name is outweighed by a main element inside, or by articles with most of
+        the text; a part of one by a main element, by most of the text that nothing else names, or by being the largest article.
+        """
+        end = self.end(at)
+        if kind == "comments":
+            return False
+        if self.mains[end] > self.mains[at + 1]:
+            return True
+        if kind == "named":
+            return self.articles[end] > self.articles[at + 1] and 2 * (self.texts[end] - self.texts[at]) > self.texts[-1]
+        return at == self.largest or 2 * (self.plain[end] - self.plain[at]) > self.plain[-1]
 
 
 def blocks(html: str) -> list[Block]:
@@ -138,12 +206,7 @@ def blocks(html: str) -> list[Block]:
                 breaks = 0
                 linked += len(text) * bool(inner["a"])
 
-    texts, sure = [0], 0  # characters of text up to each tag, outside scripts and what is surely boilerplate
-    for j, (_, end, name, closing, _) in enumerate(tags):
-        sure += (-1 if closing else 1) * (name in DROPPED_TAGS and name not in VOID_TAGS)
-        sure = max(0, sure)
-        upto = tags[j + 1][0] if j + 1 < len(tags) else len(html)
-        texts.append(texts[-1] + (0 if sure else len(html[end:upto].strip())))
+    outline = Outline(html, tags)
     i, at = 0, 0
     unclosed: set[str] = set()
     while i < len(tags):
@@ -151,8 +214,8 @@ def blocks(html: str) -> list[Block]:
         add(html[at:start])
         at = end
         kind = _boilerplate(name, attributes, bool(inner["article"] or inner["main"])) if name and not closing and name not in VOID_TAGS and name not in unclosed else ""
-        last = _closing(tags, i, name) if kind and not attributes.endswith("/") else None
-        if kind and kind != "sure" and _holds_the_text(tags, i, len(tags) - 1 if last is None else last, texts, kind):
+        last = outline.closing[i] if kind and not attributes.endswith("/") else None
+        if kind and kind != "sure" and outline.holds_the_text(i, kind):
             kind = ""
         if kind:
             if name not in ("script", "style", "noscript", "template", "svg"):
@@ -190,7 +253,7 @@ def decide(block: Block, known: bool) -> str:
     """First pass: good, bad, or empty for ambiguous. ``known``: the page is in a language whose stop words are known; else length decides."""
     inside = block.region != "page"
     if block.links > (LINKS_INSIDE if inside else LINKS):
-        return "bad"
+        return "" if inside else "bad"
     if len(block.text) < (SHORT if known else SHORT // 2) or block.heading:
         return "bad" if not inside and ("©" in block.text or "copyright" in block.text.lower()) else ""
     if not known:
@@ -201,6 +264,17 @@ def decide(block: Block, known: bool) -> str:
     return "" if inside or share >= STOP_LOW else "bad"
 
 
+def _menus(found: list[Block]) -> list[tuple[int, int]]:
+    """Stretches of at least MENU blocks in a row that are mostly links."""
+    out, begin = [], 0
+    for i in range(len(found) + 1):
+        if i == len(found) or found[i].links <= LINKS_INSIDE:
+            if i - begin >= MENU:
+                out.append((begin, i))
+            begin = i + 1
+    return out
+
+
 def region_of(found: list[Block], labels: list[str]) -> tuple[str, ...]:
     """The narrowest of article, main with article, and page that holds at least half of the characters of good blocks."""
     good = {r: sum(len(b.text) for b, label in zip(found, labels, strict=True) if label == "good" and b.region == r) for r in ("article", "main", "page")}
@@ -222,10 +296,12 @@ def main_text(html: str | None) -> str:
     long = " ".join(b.text for b in found if len(b.text) >= SHORT // 2 and b.links <= LINKS)
     known = not long or stop_share(long) >= STOP_LOW / 2
     first = [decide(b, known) for b in found]
+    for begin, end in _menus(found):
+        first[begin:end] = ["bad"] * (end - begin)
     region = region_of(found, first)
     own = [b for b in found if b.region in region]
-    edge = "bad" if "page" in region else "good"
     labels = [x for b, x in zip(found, first, strict=True) if b.region in region]
+    edge = "bad" if "page" in region and any(labels) else "good"
     n = len(own)
     before, after = [(edge, 0)] * n, [(edge, 0)] * n
     last = (edge, -1)

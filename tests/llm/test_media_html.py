@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import time
 import wave
 import zlib
 
@@ -62,7 +63,7 @@ PAGE = f"""<!DOCTYPE html><html><head><title>T</title><style>p{{x:'</p>'}}</styl
 
 
 def test_article_is_extracted():
-    assert html.main_text(PAGE) == f"The <title> & more\n{GOOD} Second é😀 line with bold link.\nShort.\n{GOOD}"
+    assert html.main_text(PAGE) == f"The <title> & more\n{GOOD} Second é😀 line with bold link.\nShort.\nMore of it\n{GOOD}"
 
 
 def test_pages_without_an_article():
@@ -108,3 +109,34 @@ def test_stored_media_are_read_back(spark):
     docs = spark.createDataFrame([(1, "héllo"), (2, None)], "doc_id long, text string")
     rows = {r.doc_id: media.unpack(bytes(r.media)) for r in media.stored(docs).collect()}
     assert rows == {1: "héllo".encode().ljust(64, b"\0"), 2: bytes(64)}
+
+
+OTHER = "But when they came to the river it was too late for the boat, and so all of them had to wait for the next day. " * 3
+
+
+@pytest.mark.parametrize("page", [
+    f'<section class="comments"><article><p>{OTHER * 3}</p></article></section>', f'<div class="comments"><article class="comment"><p>{OTHER}</p></article></div>',
+    f'<div class="sidebar"><article><p>{OTHER[:150]}</p></article></div>', f'<div class="related"><article><p>{OTHER[:150]}</p></article></div>', f'<div id="left-sidebar"><article><p>{OTHER[:150]}</p></article></div>',
+    "<ul>" + "".join(f"<li><a href={i}>of the and in to {i}</a></li>" for i in range(5)) + "</ul>",
+])
+@pytest.mark.parametrize("body", ["<article><p>{0}</p></article>", "<main><p>{0}</p></main>", "<div><p>{0}</p></div>", '<div class="post comments-open"><p>{0}</p></div>'])
+def test_comments_and_teasers_are_left_out(page, body):
+    for html_text in (body.format(WRAPPED) + page, page + body.format(WRAPPED)):
+        assert html.main_text(f"<html><body>{html_text}</body></html>") == WRAPPED.strip()
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<p>Water is wet.</p>", "Water is wet."), ("<nav>x</nav><p>Water is wet.</p>", "Water is wet."),
+    (f"<article><p>{WRAPPED}</p><p><a href=x>{OTHER}</a></p><p>{WRAPPED}</p></article>", f"{WRAPPED}\n{OTHER}\n{WRAPPED}"),
+    (f"<article><p>{WRAPPED}</p><ul><li><a href=x>One source</a></li><li><a href=y>Another</a></li></ul></article>", f"{WRAPPED}\nOne source\nAnother"),
+    (f"<article><p title='a > b' x=\">\">{WRAPPED}</p></article>", WRAPPED), (f"<article><p title=\"never closed>{WRAPPED}</p></article>", WRAPPED),
+])
+def test_article_text_is_kept(page, text):
+    assert html.main_text(f"<html><body>{page}</body></html>") == "\n".join(x.strip() for x in text.split("\n"))
+
+
+@pytest.mark.parametrize("page", ['<a "' * 250_000, "<a " * 300_000, '<div class="sidebar-x">' * 40_000, '<a b=">" ' * 100_000 + 'c="', "<a b='" * 150_000 + ">", "<" * 1_000_000, "<!--" * 250_000, "<p a" + "=" * 1_000_000])
+def test_odd_pages_take_linear_time(page):
+    began = time.perf_counter()
+    assert isinstance(html.main_text(page), str)
+    assert time.perf_counter() - began < 5
