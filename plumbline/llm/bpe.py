@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, bit_map, marked, small_batches, written
+from plumbline.llm.common import Batches, bit_map, frugal, marked, small_batches, written
 from plumbline.llm.wordbpe import WordEncoder, word_encoder
 
 #: Rolling hash: window of 16 bytes; a cut where its low bits are zero, at least LEAST and at most MOST bytes apart.
@@ -95,7 +95,7 @@ def _shared_map(docs: DataFrame) -> np.ndarray:
             h, n = np.unique(np.array(found, np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n, pa.int64())], names=["h", "n"])
 
-    counted = written(docs.select("text").mapInArrow(hashes, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h"), "repeated")
+    counted = written(docs.select("text").mapInArrow(frugal(hashes), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h"), "repeated")
     return bit_map(counted, PLACES, MAP_BITS, MOST_MAP_BITS)
 
 
@@ -211,7 +211,7 @@ def encode(docs: DataFrame, tokenizer: str, result: str = "ids") -> DataFrame:
             if rows:
                 yield _batch(rows, [*PIECE, *zip(names, kinds, strict=True)])
 
-    pieces = written(docs.mapInArrow(tokenized, f"{PIECE_SCHEMA}, {made}"), "pieces")
+    pieces = written(docs.mapInArrow(frugal(tokenized), f"{PIECE_SCHEMA}, {made}"), "pieces")
 
     def encoded(batches: Batches) -> Batches:
         encoder = word_encoder(tokenizer)
@@ -220,7 +220,7 @@ def encode(docs: DataFrame, tokenizer: str, result: str = "ids") -> DataFrame:
             yield _batch(rows, [PIECE[3], *PIECE[5:]])
 
     sent = pieces.filter("h is not null")
-    once = written(sent.filter("text is not null").groupBy("h").agg(F.min("text").alias("text")).mapInArrow(encoded, "h binary, raw binary, head string, tail string, n_head int, n_tail int"), "shared")
+    once = written(sent.filter("text is not null").groupBy("h").agg(F.min("text").alias("text")).mapInArrow(frugal(encoded), "h binary, raw binary, head string, tail string, n_head int, n_tail int"), "shared")
     parts = ["uid", "doc_id", "seq", "raw", "head", "tail", "n_head", "n_tail"]
     joined = sent.select("uid", "doc_id", "seq", "h").join(once, "h").select(parts).unionByName(pieces.filter("h is null and seq is not null").select(parts))
 
@@ -239,7 +239,7 @@ def encode(docs: DataFrame, tokenizer: str, result: str = "ids") -> DataFrame:
         if last is not None:
             yield _batch([(last[1], *finish(encoder, seams.end()))], [PIECE[1], *zip(names, kinds, strict=True)])
 
-    mended = joined.repartition("uid").sortWithinPartitions("uid", "seq").mapInArrow(repaired, f"doc_id long, {made}")
+    mended = joined.repartition("uid").sortWithinPartitions("uid", "seq").mapInArrow(frugal(repaired), f"doc_id long, {made}")
     return pieces.filter("h is null and seq is null").select("doc_id", *names).unionByName(mended)
 
 

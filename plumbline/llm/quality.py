@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, drawn, remainder, small_batches
+from plumbline.llm.common import Batches, drawn, frugal, remainder, small_batches
 
 #: Hashed words, then the statistics, each an input of the machine.
 WORD_INPUTS = 1 << 15
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Facto
             made = [inputs(t, c) for t, c in zip(batch.column("text").to_pylist(), batch.column("n_chars").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality").cast(pa.int32()), pa.array([a.tobytes() for a, _ in made], pa.binary()), pa.array([v.astype(np.float32).tobytes() for _, v in made], pa.binary())], names=["doc_id", "quality", "at", "value"])
 
-    got = rows.select(F.col("doc_id").cast("long"), "text", "n_chars", "quality").mapInArrow(run, "doc_id long, quality int, at binary, value binary").toArrow()
+    got = rows.select(F.col("doc_id").cast("long"), "text", "n_chars", "quality").mapInArrow(frugal(run), "doc_id long, quality int, at binary, value binary").toArrow()
     ordered = sorted(zip(*(got.column(c).to_pylist() for c in ("doc_id", "at", "value", "quality")), strict=True))
     return train([(np.frombuffer(a, np.int32), np.frombuffer(v, np.float32).astype(np.float64)) for _, a, v, _ in ordered], np.array([q > 0 for *_, q in ordered], float))
 
@@ -173,7 +173,7 @@ def score(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
 
     inner = docs.select(F.struct(*(F.col(f"`{n}`") for n in names)).alias("row"), "text", F.col("n_chars").cast("long").alias("n_chars"))
     kind = inner.schema["row"].dataType.simpleString()
-    scored = inner.mapInArrow(run, f"row {kind}, score double")
+    scored = inner.mapInArrow(frugal(run), f"row {kind}, score double")
     return scored.select("row.*", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

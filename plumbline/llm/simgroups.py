@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, bit_map, discard, marked, small_batches, texts_of, written
+from plumbline.llm.common import Batches, bit_map, discard, frugal, marked, small_batches, texts_of, written
 from plumbline.llm.components import components
 from plumbline.llm.simhash import links, majority, shingle_hashes
 
@@ -52,7 +52,7 @@ def _common(texts: DataFrame, shingle_words: int) -> np.ndarray:
 
     n = texts.count()
     drawn = texts.select("text") if n <= SAMPLE else texts.filter(F.pmod(F.xxhash64("doc_id", "key"), F.lit(1_000_003)) < math.ceil(1_000_003 * SAMPLE / n)).select("text")
-    got = drawn.mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST).toArrow()
+    got = drawn.mapInArrow(frugal(run), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST).toArrow()
     out = np.zeros(PLACES, np.uint16)
     out[got.column("place").to_numpy()] = np.minimum(got.column("n").to_numpy(), 65_535)
     return out
@@ -100,7 +100,7 @@ def _packed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             packed = [pack(t.encode("utf-8")) for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(packed, pa.binary())], names=["doc_id", "key", "packed"])
 
-    found = texts.select("doc_id", "key", F.xxhash64("doc_id", "key").alias("h"), "text").mapInArrow(run, "doc_id long, key string, packed binary")
+    found = texts.select("doc_id", "key", F.xxhash64("doc_id", "key").alias("h"), "text").mapInArrow(frugal(run), "doc_id long, key string, packed binary")
     named = wanted.select("id", "rep", F.col("key").alias("k"))
     return found.join(named, F.col("key") == F.col("k")).filter(F.col("doc_id").eqNullSafe(F.col("rep"))).dropDuplicates(["k"]).select("id", "packed")
 
@@ -118,7 +118,7 @@ def _marks(docs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
             columns = [pa.array(list(map(len, sets)), pa.int64()), pa.array(fps), pa.array(list(map(parities, sets)), pa.list_(pa.int64())), pa.array(firsts, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *columns], names=["doc_id", "key", "n", "fp", "bits", "firsts"])
 
-    return docs.select("doc_id", "key", "text").mapInArrow(run, "doc_id long, key string, n long, fp long, bits array<long>, firsts binary")
+    return docs.select("doc_id", "key", "text").mapInArrow(frugal(run), "doc_id long, key string, n long, fp long, bits array<long>, firsts binary")
 
 
 def index_length(n: int | np.ndarray, similarity: float):
@@ -147,7 +147,7 @@ def _shared(classes: DataFrame, similarity: float) -> DataFrame:
 
     over = Window.partitionBy("first")
     line = over.orderBy("n", "id")
-    rows = classes.select("id", "n", "firsts").mapInArrow(run, "first long, id long, n long, early boolean")
+    rows = classes.select("id", "n", "firsts").mapInArrow(frugal(run), "first long, id long, n long, early boolean")
     larger, smaller = F.lead("n").over(line), F.last(F.when(F.col("early"), F.col("n")), ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
     ratio = F.lit(similarity - 1e-9)
     met = rows.withColumns({"larger": larger, "smaller": smaller}).filter((F.col("early") & (F.col("n") >= ratio * F.col("larger"))) | (F.col("smaller") >= ratio * F.col("n")))
@@ -201,7 +201,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, known: DataFrame, shingle_wor
             near = [similar(sets[a], sets[b], similarity) for a, b in zip(*(x.tolist() for x in ids), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    found = written(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "similar")
+    found = written(both.select("a", "b", "x", "y").mapInArrow(frugal(run), "a long, b long"), "similar")
     discard(texts.sparkSession, needed, packed)
     return found
 
@@ -228,7 +228,7 @@ def _fingerprint_pairs(known: DataFrame, similarity: float) -> DataFrame:
             fine = [may_be_similar(*x, similarity) for x in zip(n, bits, m, other, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id0"), batch.column("id1")], names=["a", "b"]).filter(pa.array(fine, pa.bool_()))
 
-    pairs = written(every.mapInArrow(run, "a long, b long").distinct(), "pairs")
+    pairs = written(every.mapInArrow(frugal(run), "a long, b long").distinct(), "pairs")
     discard(known.sparkSession, heads)
     return pairs
 
@@ -261,7 +261,7 @@ def _proposals(units: DataFrame, known: DataFrame, roots: DataFrame, similarity:
                     yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "unit"])
 
     kind = units.schema["unit"].dataType.simpleString()
-    return written(held.mapInArrow(propose, f"a long, b long, unit {kind}"), "pairs")
+    return written(held.mapInArrow(frugal(propose), f"a long, b long, unit {kind}"), "pairs")
 
 
 def similar_classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Batches, small_batches, texts_of, written
+from plumbline.llm.common import Batches, frugal, small_batches, texts_of, written
 from plumbline.llm.components import components
 
 BITS = 64
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
             fps = np.array([majority(shingle_hashes(t, shingle_words)) for t in texts_of(batch)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(frugal(run), "doc_id long, fp long")
 
 
 def _span(block: int, blocks: int) -> tuple[int, int]:
@@ -136,7 +136,7 @@ def shards(classes: DataFrame, max_distance: int = 2, blocks: int = 2, levels: i
                     shard, who = np.concatenate([home, rest[:, 1]]), np.concatenate([fps, fps[rest[:, 0]]])
                     yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(who.view(np.int64)), pa.array(np.arange(len(shard)) >= len(home))], names=["shard", "fp", "probe"])
 
-    return classes.select("fp").mapInArrow(run, "shard long, fp long, probe boolean")
+    return classes.select("fp").mapInArrow(frugal(run), "shard long, fp long, probe boolean")
 
 
 def _star_edges(home: np.ndarray, probes: np.ndarray, most: int) -> np.ndarray:
@@ -187,7 +187,7 @@ def links(classes: DataFrame, max_distance: int = 2, blocks: int = 2, levels: in
             pairs = np.concatenate(out).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    found = held.select("home", "probes").mapInArrow(run, "a long, b long")
+    found = held.select("home", "probes").mapInArrow(frugal(run), "a long, b long")
     return found if spanning else found.distinct()
 
 
