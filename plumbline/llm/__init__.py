@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus-scale jobs on documents, pages and embeddings.
+"""Training-data operators: thirteen corpus-scale jobs on documents, pages, conversations and embeddings.
 
 Nothing else in the library imports this subpackage; ``queries`` lists what it registers.
 """
