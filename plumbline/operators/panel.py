@@ -69,6 +69,11 @@ def star(rows: DataFrame, dimension: DataFrame, on: str) -> DataFrame:
     return rows.join(dimension, on, "left")
 
 
+def members(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows whose members are known: a slicer that leaves out the blank member of each dimension column."""
+    return rows.dropna(subset=columns) if columns else rows
+
+
 def mapped(column: Column, values: dict) -> Column:
     """Dictionary value, null for what the dictionary doesn't have."""
     out = F.lit(None)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.functions import text
-from plumbline.operators import asof, bootstrap, cuts, dims, index, kept_index
+from plumbline.operators import asof, bootstrap, cuts, dims, index, kept_index, levels
 from plumbline.operators import panel as P
 from plumbline.plans import bindings as B
 from plumbline.plans.queries import DRAWN, registered, rounded
@@ -37,6 +37,14 @@ def index_by_cuts(spark, sf_dir):
     return rounded(made)
 
 
+@registered(f", ck as (select cells.*, {CHANNEL_SQL} channel from cells left join outs using (outlet)) select channel, item, round(avg(cast(price as double)),6) mean_price, round(median(cast(price as double)),6) median_price, round(quantile_cont(cast(price as double),0.9)/quantile_cont(cast(price as double),0.1),6) p90_p10, count(distinct outlet) outlets from ck where channel is not null group by 1,2 having count(distinct outlet)>=3", "cells outs")
+def sliced_levels(spark, sf_dir):
+    """Price levels by channel and item: no blank channel, and no group seen in fewer than three outlets."""
+    outlets = B.outlets(spark, sf_dir).withColumn("channel", P.mapped(F.col("state"), B.CHANNELS))
+    rows = P.members(P.star(B.cells(spark, sf_dir), outlets, "outlet"), ["channel"])
+    return rounded(levels.price_levels(rows, ["channel", "item"], 3))
+
+
 # ---- recalculation, read-outs, landing cuts
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import periods, text
 from plumbline.functions.keys import key
-from plumbline.operators import bootstrap, gates
+from plumbline.operators import bootstrap, dims, gates, kept_index
 from plumbline.operators import panel as P
 from plumbline.sources import landing, sinks, state
 
@@ -84,8 +84,18 @@ def run_silver(store: sinks.Store, table: str, spec: FeedSpec, asked: str, log:
     return labels
 
 
-def run_gold(store: sinks.Store, labels: Sequence[str], replicas: int, log: sinks.RunLog) -> None:
-    """Links that the changed periods touch, and the interval of the index over all written links."""
+def _replaced(store: sinks.Store, name: str, rows: DataFrame, labels: Sequence[str]) -> None:
+    sinks.replace_periods(rows.withColumn("period_id", key("label")), store.path("gold", name), "label", labels)
+
+
+def run_gold(store: sinks.Store, labels: Sequence[str], replicas: int, log: sinks.RunLog, cuts: Sequence[str] = (), deflator: DataFrame | None = None) -> None:
+    """The star of the changed periods: dimensions, price facts, links, the index of each cut, and the interval over all links.
+
+    Facts carry keys and measures only: period_id, outlet and item point to ``calendar``, ``outlets`` and ``items``, whose attributes
+    stand once. Facts of a changed period, and the links and index sums that it touches, take the place of the old ones; dimensions
+    are upserted by key. ``cuts`` names the columns (item, or attributes of outlets) by which the index is kept, besides its total;
+    ``deflator`` (label, deflator) goes to the calendar.
+    """
     if not labels:
         log.note("gold", links=0)
         return
@@ -94,9 +104,20 @@ def run_gold(store: sinks.Store, labels: Sequence[str], replicas: int, log: sink
     gates.enforce(gates.calendar_gaps(calendar), "calendar gap")
     at = {r.label: r.ord for r in calendar.collect()}
     changed = sorted(at[x] for x in labels if x in at)
-    links = P.links_of_batch(cells.select("outlet", "item", "ord", "price"), changed).withColumn("label", periods.label_of_ordinal(F.col("ord")))
+    known = deflator if deflator is not None else store.spark.createDataFrame([], "label string, deflator double")
+    dimensions = {"calendar": (dims.half_months(calendar, known), "period_id")}
+    for name in ("outlets", "items"):
+        member = name[:-1]
+        dimensions[name] = store.read("silver", name).withColumnRenamed(f"{member}_key", member), member
+    for name, (rows, own) in dimensions.items():
+        log.note(f"gold.{name}", **sinks.upsert(rows, store.path("gold", name), [own]))
+    facts = cells.filter(F.col("label").isin(list(labels))).select("outlet", "item", "price", "observations", "price_min", "price_max", "label")
+    _replaced(store, "prices", facts, labels)
+    prices = cells.select("outlet", "item", "ord", "price")
+    links = P.links_of_batch(prices, changed).withColumn("label", periods.label_of_ordinal(F.col("ord")))
     touched = [x for x in at if at[x] in changed or at[x] - 1 in changed]
-    sinks.replace_periods(links, store.path("gold", "links"), "label", touched)
+    _replaced(store, "links", links, touched)
+    kept_index.refresh(store.path("gold", "index"), prices, dimensions["outlets"][0], list(cuts), changed)
     whole = store.read("gold", "links").select("outlet", "item", "ord", "log_rel")
     interval = bootstrap.filled(bootstrap.interval(whole, replicas), calendar)
     log.note("gold", links=whole.count(), **sinks.upsert(interval, store.path("gold", "interval"), ["item", "ord"]))

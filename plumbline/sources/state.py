@@ -77,9 +77,8 @@ def widened(batch: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def restricted(rows: DataFrame, periods: DataFrame, column: str) -> DataFrame:
-    """Rows of the chosen periods (label); the chosen ones are few, and the join says so only after counting them."""
-    chosen = periods.select(F.col("label").alias(column)).distinct()
-    return rows.join(F.broadcast(chosen) if chosen.limit(10_001).count() <= 10_000 else chosen, column, "left_semi")
+    """Rows of the chosen periods (label); Spark sends the chosen ones to the rows if it finds them small."""
+    return rows.join(periods.select(F.col("label").alias(column)).distinct(), column, "left_semi")
 
 
 def without(rows: DataFrame, column: str, excluded: Sequence[str]) -> DataFrame:

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import gates, index
+from plumbline.operators import gates, index, kept_index
 from plumbline.plans import layers
 from plumbline.sources import sinks
 
@@ -18,6 +18,10 @@ def land(spark, tmp_path, period, attempt, rows):
     return str(file), (file.name, period, attempt, f"s{period}{attempt}", len(rows))
 
 
+def kept_item(rows):
+    return next(r["value"] for r in rows if r.cut == "item")
+
+
 def row(name, price, sku="x"):
     return (name, "street 1", "c", sku, "bread", price)
 
@@ -34,7 +38,7 @@ def test_layers_end_to_end(spark, tmp_path):
     assert layers.run_bronze(store, "prices", [p for p, _ in landed], manifest, "r1", log) == 3
     labels = layers.run_silver(store, "prices", SPEC, "", log)
     assert labels == ["2024-01_q1", "2024-01_q2", "2024-02_q1"]
-    layers.run_gold(store, labels, 20, log)
+    layers.run_gold(store, labels, 20, log, ["item", "chain"])
     read = lambda: store.read("silver", "cells")
     value = lambda: index.chained_index(store.read("gold", "links"), read(), read().select("ord").distinct(), [], 1, 1).agg(F.max_by("index", "ord")).first()[0]
     assert store.read("gold", "links").count() == 4 and value() == pytest.approx(100 * math.sqrt(1.5))
@@ -50,9 +54,17 @@ def test_layers_end_to_end(spark, tmp_path):
     assert layers.run_bronze(store, "prices", [*(p for p, _ in landed), path], more, "r3", third) == 1
     labels = layers.run_silver(store, "prices", SPEC, "", third)
     assert labels == ["2024-01_q2"]
-    layers.run_gold(store, labels, 20, third)
+    layers.run_gold(store, labels, 20, third, ["item", "chain"])
     assert value() == pytest.approx(100 * math.sqrt(2) * math.sqrt(1.25))
 
+    gold = {n: store.read("gold", n) for n in ("prices", "links", "outlets", "items", "calendar")}
+    assert (gold["prices"].count(), gold["outlets"].count(), gold["items"].count(), gold["calendar"].count()) == (7, 3, 1, 3)
+    star = gold["prices"].join(gold["outlets"], "outlet").join(gold["items"], "item").join(gold["calendar"].select("period_id", "ord"), "period_id")
+    assert star.count() == 7 and {(r.name, r.ord - 2024 * 24, float(r.price)) for r in star.filter("name = 'A'").collect()} == {("A", 0, 10.0), ("A", 1, 20.0)}
+    kept = kept_index.read(spark, store.path("gold", "index"), 1, 1).filter(F.col("ord") == 2024 * 24 + 2).collect()
+    assert {(r.cut, r["value"]) for r in kept} == {("total", None), ("chain", "c"), ("item", kept_item(kept))}
+    assert all(r["index"] == pytest.approx(value()) for r in kept)
+
 
 def test_silver_stops_before_writing(spark, tmp_path):
     path, entry = land(spark, tmp_path, "2024-01_q1", 1, [row("A?b", "10")])
