@@ -56,7 +56,7 @@ def member(data: bytes) -> bytes:
 def members(data: bytes) -> Iterator[tuple[int, bytes | None]]:
     """``(offset, bytes)`` of a file's gzip members; of a file that isn't compressed, the whole. Null bytes: a damaged stretch."""
     if data[:2] != b"\x1f\x8b":
-        yield 0, data.rstrip(b"\0") if data[-1:] == b"\0" else data
+        yield 0, data
         return
     view, at, sound = memoryview(data), 0, True
     while at < len(data) and data[at] != 0:
@@ -77,6 +77,11 @@ def members(data: bytes) -> Iterator[tuple[int, bytes | None]]:
         at = found if found >= 0 else len(data)
 
 
+def _ended(text: bytes, at: int) -> bool:
+    """Whether nothing follows but the zero byte that ends a file."""
+    return at >= len(text) or at == len(text) - 1 and not text[at]
+
+
 def _field(value: object, none: str = "-") -> str:
     """A value as a field of a header line: without white space and controls, never empty."""
     return quote(str(value), safe="%/:?#[]@!$&'()*+,;=~-._") if value not in (None, "") else none
@@ -108,7 +113,7 @@ def arc_records(data: bytes) -> Iterator[dict]:
         while True:
             while text[at : at + 1] in (b"\n", b"\r"):
                 at += 1
-            if at >= len(text):
+            if _ended(text, at):
                 break
             end = text.find(b"\n", at)
             line = text[at : end if end >= 0 else len(text)].rstrip(b"\r").decode("utf-8", "replace")
@@ -178,7 +183,7 @@ def warc_records(data: bytes) -> Iterator[dict]:
         if text is None:
             yield {"offset": offset, "place": 0, "problem": "damaged member"}
             continue
-        while text[at : at + 1]:
+        while not _ended(text, at):
             end = text.find(b"\r\n\r\n", at)
             head = text[at:end].decode("utf-8", "replace").split("\r\n") if end >= 0 else [""]
             fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head[1:])}

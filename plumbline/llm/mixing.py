@@ -95,10 +95,13 @@ def mix_sizes(docs: DataFrame, **kind) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **kind) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, with the same columns."""
+    """The rows of ``docs``, each as often as the mix takes it, with the same columns, whatever their names.
+
+    Null texts have no words and are taken as often as the whole source is; rows of one doc_id go together, repeated rows stay
+    rows, and an empty table gives an empty table.
+    """
     rows = written(sized(docs.select(F.col("doc_id").cast("long"), "text", "source")).drop("text"), "sizes")
     plan = written(thresholds(rows, **kind), "mix")
-    names = docs.columns
-    inner = sized(docs.select(F.struct(*names).alias("row"), F.col("doc_id").cast("long"), "text", "source")).drop("text")
+    inner = sized(docs.select(F.struct(*(F.col(f"`{n}`") for n in docs.columns)).alias("row"), F.col("doc_id").cast("long"), "text", "source")).drop("text")
     taken = mix(inner, plan).filter("repeats > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))).select("row.*")

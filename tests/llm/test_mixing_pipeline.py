@@ -111,3 +111,39 @@ def test_pipeline_stages(spark, tmp_path):
     library = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
     got = sorted((r.doc_id, r.n_tokens) for r in kept[4].collect())
     assert got == sorted((d, len(library.encode(clean[d], add_special_tokens=False).ids)) for d, n in times.items() for _ in range(n))
+
+
+def written_tables(spark, tmp_path, rows, labelled=True):
+    """A folder with documents (extra, clashing columns too) and labels, made from the sample and odd rows."""
+    base = str(tmp_path / "odd")
+    sample = documents(spark, SAMPLE).select("doc_id", "text", "lang", "source", "n_chars")
+    odd = spark.createDataFrame(rows, sample.schema)
+    extra = (sample.unionByName(odd) if labelled else odd).withColumns({"key": F.lit("x"), "size": F.lit(1), "row": F.lit(2), "a.b": F.lit(3), "root": F.lit(None).cast("int")})
+    extra.write.parquet(f"{base}/documents.parquet")
+    labels = spark.read.parquet(f"{SAMPLE}/labels.parquet")
+    (labels if labelled else labels.limit(0)).write.parquet(f"{base}/labels.parquet")
+    return base
+
+
+def test_run_on_odd_tables(spark, tmp_path):
+    good = next(r.text for r in documents(spark, SAMPLE).join(spark.read.parquet(f"{SAMPLE}/labels.parquet").filter("quality = 1"), "doc_id").orderBy(F.length("text").desc()).collect() if "token" not in r.text)
+    rows = [(90_001, good + " tail of its own", "en", None, None), (90_001, good + " tail of its own", "en", None, None), (90_002, None, None, None, None), (90_003, "", "en", "s", 0), (None, good[: len(good) // 3], None, "s", 1), (90_005, "word " * 60_000, "en", "s", 1)]
+    base = written_tables(spark, tmp_path, rows)
+    got = corpus_pipeline.run(spark, base).collect()
+    ids = {r.doc_id for r in spark.read.parquet(f"{base}/documents.parquet").select("doc_id").collect()}
+    assert {r.doc_id for r in got} <= ids and len(got) > 20
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{base}/documents.parquet").collect()}
+    library = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    plain_ones = [r for r in got if r.doc_id is not None and "token" not in (texts[r.doc_id] or "")]
+    assert plain_ones and all(r.n_tokens == len(library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids) for r in plain_ones)
+
+
+def test_run_on_empty_and_unlabelled_tables(spark, tmp_path):
+    base = written_tables(spark, tmp_path, [], labelled=False)
+    assert corpus_pipeline.run(spark, base).count() == 0
+
+
+def test_mixed_documents_with_odd_names(spark):
+    df = spark.createDataFrame([(1, "a b", "s", 5, 6), (2, None, None, None, None)], "doc_id long, text string, source string, `a.b` int, `row` int")
+    out = mixing.mixed_documents(df)
+    assert out.columns == df.columns and {r["a.b"] for r in out.collect()} <= {5, None}
