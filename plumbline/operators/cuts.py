@@ -100,12 +100,12 @@ def entity_numbers(entities: DataFrame, levels: dict[str, tuple[str, ...]]) -> D
 def entity_bitmaps(rows: DataFrame, numbers: DataFrame, levels: dict[str, tuple[str, ...]]) -> DataFrame:
     """``(ord, level, bucket, bits)``: which entities of each level a period has; ``numbers`` from ``entity_numbers``.
 
-    A row gives one bit a level; bitmaps are made where the rows are, and only they are shuffled. An entity with a null
-    attribute has no number and no bit.
+    A tuple gives one bit a level in each period; bitmaps are made where the tuples are, and only they go on. An entity with a
+    null attribute has no number and no bit.
     """
     columns = [c for c in numbers.columns if not c.startswith("_")]
     named = numbers.select(*(F.col(c).alias(f"_of_{c}") for c in columns), *(f"_{n}" for n in levels))
-    joined = rows.select("ord", *columns).join(named, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in columns])
+    joined = rows.select("ord", *columns).distinct().join(named, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in columns])
     bits = F.inline(F.array(*(F.struct(F.lit(n).alias("level"), F.col(f"_{n}").alias("number")) for n in levels)))
     marked = joined.select("ord", bits).filter("number is not null")
     return marked.groupBy("ord", "level", F.bitmap_bucket_number("number").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))

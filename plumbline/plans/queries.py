@@ -177,7 +177,7 @@ LEVELS_SQL = "select {by} 'outlet' as level, count(distinct outlet) n from {t} {
 
 @registered(", ck as (select * from cells left join outs using (outlet)), lk as (select * from links left join outs using (outlet)), so as (" + LEVELS_SQL.format(by="ord,", t="ck", g="group by ord") + "), sl as (" + LEVELS_SQL.format(by="ord,", t="lk", g="group by ord") + "), o as (" + LEVELS_SQL.format(by="", t="ck", g="") + "), l as (" + LEVELS_SQL.format(by="", t="lk", g="") + ") select o.level, o.n observed, l.n matched, round(c,6) coverage from o join l using (level) join (select level, median(cast(sl.n as double)/so.n) c from sl join so using (ord, level) group by 1) using (level)", "links outs")
 def coverage_by_level(spark, sf_dir):
-    return rounded(coverage.coverage(*linked(spark, sf_dir, True)))
+    return rounded(coverage.coverage(*linked(spark, sf_dir, True), B.outlets(spark, sf_dir)))
 
 
 @registered("select count(*) filter (p=t) outlets, max(t) periods from (select outlet, count(distinct ord) p from cells group by 1), (select count(distinct ord) t from cells)", "cells")
