@@ -21,7 +21,10 @@ from plumbline.sources import landing, sinks, state
 
 @dataclass(frozen=True)
 class FeedSpec:
-    """A feed's natural keys, attributes, price, text repair and exclusions."""
+    """A feed's natural keys, attributes, price, text repair and exclusions.
+
+    ``outlet``, ``item`` and their ``_key`` columns are the star's own names: a feed that has them raises here.
+    """
 
     outlet: tuple[str, ...]
     outlet_attributes: tuple[str, ...]
@@ -32,24 +35,31 @@ class FeedSpec:
     typos: dict[str, dict[str, str]] = field(default_factory=dict)
     excluded: tuple[str, ...] = ()
 
+    def __post_init__(self) -> None:
+        taken = {"outlet", "item", "outlet_key", "item_key"} & {*self.outlet, *self.outlet_attributes, *self.item, *self.item_attributes}
+        if taken:
+            raise ValueError(f"columns named as the star's own: {sorted(taken)}")
+
 
 def run_bronze(store: sinks.Store, table: str, paths: Sequence[str], manifest: DataFrame, run_id: str, log: sinks.RunLog) -> int:
     """Append the landed files of the batches that the table doesn't have; returns how many batches.
 
-    ``manifest`` has file, period, attempt, sha256, rows. The rows of each new batch must be those declared.
+    ``manifest`` has file, period, attempt, sha256, rows; a file is named by its whole path or the end of it, as in ``parquet_landing``.
+    A batch may have several files. The rows of each new batch must be those declared for all of its files.
     """
     path = store.path("bronze", table)
     have = store.read("bronze", table) if store.has("bronze", table) else None
     todo = state.pending(manifest, have, {"period": "_period", "attempt": "_attempt"})
-    names = [r.file for r in todo.select("file").collect()]
-    wanted = [p for p in paths if p.rsplit("/", 1)[-1] in names]
+    names = {r.file.lstrip("/") for r in todo.select("file").collect()}  # one row a file
+    wanted = [p for p in paths if not names.isdisjoint(landing.endings(p))]
     if wanted:
         rows = landing.parquet_landing(store.spark, wanted, todo)
-        expected = todo.select(F.col("period").alias("_period"), F.col("attempt").alias("_attempt"), F.col("rows").alias("expected"))
+        expected = todo.groupBy(F.col("period").alias("_period"), F.col("attempt").alias("_attempt")).agg(F.sum("rows").alias("expected"))
         gates.enforce(state.unreconciled(rows, expected, ["_period", "_attempt"]), "rows read are not those declared")
         sinks.append(landing.audited(rows, run_id, {"_attempt": "bigint"}), path)
-    log.note(f"bronze.{table}", batches=len(wanted))
-    return len(wanted)
+    batches = todo.select("period", "attempt").distinct().count() if wanted else 0
+    log.note(f"bronze.{table}", batches=batches, files=len(wanted))
+    return batches
 
 
 def run_silver(store: sinks.Store, table: str, spec: FeedSpec, asked: str, log: sinks.RunLog) -> list[str]:

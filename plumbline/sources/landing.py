@@ -38,6 +38,12 @@ def manifest(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
     return rows.dropna(how="all")
 
 
+def endings(path: str) -> set[str]:
+    """What a manifest may call a file: its path, or the end of it from some folder on."""
+    parts = path.lstrip("/").split("/")
+    return {"/".join(parts[i:]) for i in range(len(parts))}
+
+
 def parquet_landing(spark: SparkSession, paths: Sequence[str], manifest: DataFrame, file: str = "file", lineage: Sequence[str] = ("period", "attempt", "sha256")) -> DataFrame:
     """Landed Parquet files with the manifest's lineage columns, each file finding its own row of the manifest.
 

@@ -172,10 +172,15 @@ def snapshot(df: DataFrame, path: str) -> dict[str, int]:
 class RunLog:
     """Metrics of a run, one record a step; a step is recorded once, zeros included."""
 
-    def __init__(self) -> None:
-        self.steps: dict[str, dict[str, int]] = {}
+    def __init__(self, prefix: str = "", steps: dict[str, dict[str, int]] | None = None) -> None:
+        self.prefix, self.steps = prefix, {} if steps is None else steps
+
+    def part(self, prefix: str) -> RunLog:
+        """The same record for one part of a run, whose steps begin with ``prefix``."""
+        return RunLog(self.prefix + prefix, self.steps)
 
     def note(self, step: str, **metrics: int) -> None:
+        step = self.prefix + step
         if step in self.steps:
             raise ValueError(f"step recorded twice: {step}")
         self.steps[step] = metrics

@@ -7,7 +7,7 @@ import math
 import duckdb
 import pytest
 
-from plumbline.plans import depth_queries, more_queries  # noqa: F401
+from plumbline.plans import depth_queries, landed_queries, more_queries  # noqa: F401
 from plumbline.plans.queries import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
