@@ -19,6 +19,10 @@ from plumbline.operators import panel as P
 from plumbline.sources import landing, sinks, state
 
 
+#: Buckets of new dimensions and intervals: each of a few million members is still a small file, and an upsert costs by bucket.
+SMALL = 8
+
+
 @dataclass(frozen=True)
 class FeedSpec:
     """A feed's natural keys, attributes, price, text repair and exclusions.
@@ -74,6 +78,7 @@ def run_silver(store: sinks.Store, table: str, spec: FeedSpec, asked: str, log:
         return []
     batch = state.without(rows.filter(F.col("_period").isin(labels)), spec.item[0], spec.excluded)
     batch = text.canonical(batch, [*spec.outlet, *spec.outlet_attributes], spec.words, spec.typos)
+    batch = store.kept("silver", f"_{table}_batch", batch)  # repaired once, read by every gate and by the tables
     natural = [*spec.outlet, *spec.item]
     gates.enforce(gates.malformed(batch, "_period", periods.PATTERN), "period format")
     gates.enforce(gates.blank_counts(batch, [*natural, spec.price]), "blank columns")
@@ -88,7 +93,7 @@ def run_silver(store: sinks.Store, table: str, spec: FeedSpec, asked: str, log:
     for name, nat, attributes in (("items", spec.item, spec.item_attributes), ("outlets", spec.outlet, spec.outlet_attributes)):
         dim = batch.groupBy(*nat).agg(*(F.max(a).alias(a) for a in attributes), F.count("*").alias("_n")).drop("_n").withColumn(f"{name[:-1]}_key", one(nat))
         gates.enforce(gates.repeated_keys(dim, f"{name[:-1]}_key"), f"{name}: one key for several members")
-        log.note(f"silver.{table}.{name}", **sinks.upsert(dim, store.path("silver", name), list(nat)))
+        log.note(f"silver.{table}.{name}", **sinks.upsert(dim, store.path("silver", name), list(nat), SMALL))
     sinks.replace_periods(cells, store.path("silver", "cells"), "label", labels)
     log.note(f"silver.{table}", periods=len(labels))
     return labels
@@ -120,7 +125,7 @@ def run_gold(store: sinks.Store, labels: Sequence[str], replicas: int, log: sink
         member = name[:-1]
         dimensions[name] = store.read("silver", name).withColumnRenamed(f"{member}_key", member), member
     for name, (rows, own) in dimensions.items():
-        log.note(f"gold.{name}", **sinks.upsert(rows, store.path("gold", name), [own]))
+        log.note(f"gold.{name}", **sinks.upsert(rows, store.path("gold", name), [own], SMALL))
     facts = cells.filter(F.col("label").isin(list(labels))).select("outlet", "item", "price", "observations", "price_min", "price_max", "label")
     _replaced(store, "prices", facts, labels)
     prices = cells.select("outlet", "item", "ord", "price")
@@ -130,4 +135,4 @@ def run_gold(store: sinks.Store, labels: Sequence[str], replicas: int, log: sink
     kept_index.refresh(store.path("gold", "index"), prices, dimensions["outlets"][0], list(cuts), changed)
     whole = store.read("gold", "links").select("outlet", "item", "ord", "log_rel")
     interval = bootstrap.filled(bootstrap.interval(whole, replicas), calendar)
-    log.note("gold", links=whole.count(), **sinks.upsert(interval, store.path("gold", "interval"), ["item", "ord"]))
+    log.note("gold", links=whole.count(), **sinks.upsert(interval, store.path("gold", "interval"), ["item", "ord"], SMALL))

@@ -62,11 +62,11 @@ def replace_periods(df: DataFrame, path: str, column: str, periods: Sequence) ->
         if have and have != new:
             raise ValueError(f"schema differs from the table's: {new} against {have}")
     name = F.col(column).cast("string")
-    stray = df.filter(~F.coalesce(name.isin(*asked), F.lit(False))).limit(1).collect()
-    if stray:
-        raise ValueError(f"a row lies outside the replaced periods: {stray[0].asDict()}")
-    filled = {r[0] for r in df.select(name).distinct().collect()}
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    filled = {r[0] for r in df.select(name).distinct().limit(len(asked) + 1).collect()}
+    if filled - asked:
+        stray = df.filter(~F.coalesce(name.isin(*asked), F.lit(False))).first()
+        raise ValueError(f"a row lies outside the replaced periods: {stray.asDict()}")
+    df.hint("rebalance", F.col(column)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
     fs, at = _fs(spark, path)
     for status in fs.listStatus(at):
         key, _, value = status.getPath().getName().partition("=")
@@ -121,7 +121,7 @@ def _applied(spark: SparkSession, path: str) -> dict[str, int]:
     counted = staged.groupBy(bucket, "action").count().collect()  # three a bucket at most
     changed = sorted({r[bucket] for r in counted if r["action"] != "keep"})
     if changed:
-        staged.filter(F.col(bucket).isin(changed)).drop("action").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path)
+        staged.filter(F.col(bucket).isin(changed)).drop("action").hint("rebalance", F.col(bucket)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path)
     fs, at = _fs(spark, f"{path}.staged")
     fs.delete(at, True)
     return {a: sum(r["count"] for r in counted if r["action"] == a) for a in ("insert", "update")}
@@ -132,33 +132,41 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKET
 
     The table is partitioned by a hash of the key, in ``buckets`` when it is made. Only the buckets of the batch's keys are
     read, merged once into a stage beside the table, and only those with an insert or update are replaced; files of others
-    stay as they are. A stage that is whole is applied again by the next call if a run ended before it was forgotten. A key
+    stay as they are. The batch is written beside the table first, so that costly rows are made once. A stage that is whole is applied again by the next call if a run ended before it was forgotten. A key
     that the batch holds twice raises. Read the table by ``upserted``.
     """
     spark, path = new.sparkSession, path.rstrip("/")
-    repeated = new.groupBy(*keys).count().filter("count > 1").limit(3).collect()
-    if repeated:
-        raise ValueError(f"keys repeated in the batch: {[r.asDict() for r in repeated]}")
     fs, stage = _fs(spark, f"{path}.staged")
     if fs.exists(stage):
         _applied(spark, path) if exists(spark, f"{path}.staged/_SUCCESS") else fs.delete(stage, True)
-    if not exists(spark, path):
-        if not new.limit(1).count():
-            raise ValueError("a table can't be created from an empty batch")
-        _bucketed(new, keys, buckets).repartition(*keys).write.partitionBy(f"{BUCKET}{buckets}").parquet(path)
-        return {"insert": upserted(spark, path).count(), "update": 0}
-    table = spark.read.option("mergeSchema", True).parquet(path)
-    bucket = _bucket_column(table)
-    if bucket is None:
-        raise ValueError(f"no bucket column in {path}: not a table that upsert made")
-    n, kinds = int(bucket.removeprefix(BUCKET)), dict(table.dtypes)
-    batch = new.withColumns({k: F.col(k).cast(kinds[k]) for k in keys})
-    met = sorted(r[0] for r in _bucketed(batch, keys, n).select(bucket).distinct().collect())
-    if not met:
-        return {"insert": 0, "update": 0}
-    merged = upsert_actions(table.filter(F.col(bucket).isin(met)).drop(bucket), batch, keys)
-    _bucketed(merged, keys, n).write.partitionBy(bucket).parquet(f"{path}.staged")
-    return _applied(spark, path)
+    table, n = None, buckets
+    if exists(spark, path):
+        table = spark.read.option("mergeSchema", True).parquet(path)
+        bucket = _bucket_column(table)
+        if bucket is None:
+            raise ValueError(f"no bucket column in {path}: not a table that upsert made")
+        n, kinds = int(bucket.removeprefix(BUCKET)), dict(table.dtypes)
+        new = new.withColumns({k: F.col(k).cast(kinds[k]) for k in keys})
+    bucket = f"{BUCKET}{n}"
+    _bucketed(new, keys, n).write.mode("overwrite").parquet(f"{path}.batch")  # what the batch is made from is read once
+    batch = spark.read.parquet(f"{path}.batch")
+    try:
+        repeated = batch.groupBy(*keys).count().filter("count > 1").limit(3).collect()
+        if repeated:
+            raise ValueError(f"keys repeated in the batch: {[r.asDict() for r in repeated]}")
+        met = sorted(r[0] for r in batch.select(bucket).distinct().collect())  # as many as there are buckets
+        if table is None:
+            if not met:
+                raise ValueError("a table can't be created from an empty batch")
+            batch.hint("rebalance", F.col(bucket)).write.partitionBy(bucket).parquet(path)
+            return {"insert": batch.count(), "update": 0}
+        if not met:
+            return {"insert": 0, "update": 0}
+        merged = upsert_actions(table.filter(F.col(bucket).isin(met)).drop(bucket), batch.drop(bucket), keys)
+        _bucketed(merged, keys, n).hint("rebalance", F.col(bucket)).write.partitionBy(bucket).parquet(f"{path}.staged")
+        return _applied(spark, path)
+    finally:
+        _fs(spark, path)[0].delete(_fs(spark, f"{path}.batch")[1], True)
 
 
 def snapshot(df: DataFrame, path: str) -> dict[str, int]:
@@ -204,3 +212,8 @@ class Store:
 
     def has(self, layer: str, table: str) -> bool:
         return exists(self.spark, self.path(layer, table))
+
+    def kept(self, layer: str, table: str, rows: DataFrame) -> DataFrame:
+        """Rows of a step written once, for all its readers; the next run's take their place."""
+        rows.write.mode("overwrite").parquet(self.path(layer, table))
+        return self.spark.read.schema(rows.schema).parquet(self.path(layer, table))

@@ -81,3 +81,37 @@ def test_bronze_reconciles(spark, tmp_path):
     manifest = spark.createDataFrame([(*entry[:4], 7)], "file string, period string, attempt long, sha256 string, rows long")
     with pytest.raises(gates.GateError, match="declared"):
         layers.run_bronze(sinks.Store(spark, str(tmp_path / "lake")), "prices", [path], manifest, "r", sinks.RunLog())
+
+
+def test_manifest_names_files_by_folder(spark, tmp_path):
+    """Two files of one base name in two folders, both of one batch: rows declared are added up."""
+    rows = spark.createDataFrame([row("A", "10"), row("B", "11")], COLUMNS)
+    for folder in ("x", "y"):
+        rows.coalesce(1).write.parquet(str(tmp_path / folder))
+        next((tmp_path / folder).glob("*.parquet")).rename(tmp_path / folder / "same.parquet")
+    manifest = spark.createDataFrame([(f"{f}/same.parquet", "2024-01_q1", 1, f, 2) for f in ("x", "y")], "file string, period string, attempt long, sha256 string, rows long")
+    store, log = sinks.Store(spark, str(tmp_path / "lake")), sinks.RunLog()
+    assert layers.run_bronze(store, "prices", [str(tmp_path / f / "same.parquet") for f in ("x", "y")], manifest, "r", log.part("a.")) == 1
+    assert store.read("bronze", "prices").groupBy("_sha256").count().count() == 2 and log.steps == {"a.bronze.prices": {"batches": 1, "files": 2}}
+
+
+def test_feed_columns_named_as_the_stars():
+    with pytest.raises(ValueError, match="outlet"):
+        layers.FeedSpec(outlet=("outlet",), outlet_attributes=(), item=("sku",), item_attributes=(), price="price")
+
+
+def test_upsert_makes_its_batch_once(spark, tmp_path):
+    """The batch is read from what was written, and nothing of it stays behind, not even after a refusal."""
+    path, made = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    new = spark.range(10).withColumn("v", F.col("id") * 2).mapInArrow(counted, "id long, v long")
+    assert sinks.upsert(new, path, ["id"]) == {"insert": 10, "update": 0} and made.value == 10
+    with pytest.raises(ValueError, match="repeated"):
+        sinks.upsert(spark.createDataFrame([(1, 1), (1, 2)], "id long, v long"), path, ["id"])
+    assert sinks.upsert(spark.createDataFrame([(1, 1), (11, 2)], "id long, v long"), path, ["id"]) == {"insert": 1, "update": 1}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"] and sinks.upserted(spark, path).count() == 11
