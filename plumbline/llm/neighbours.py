@@ -306,10 +306,15 @@ def nearest(vectors: DataFrame, wanted: DataFrame, k: int = 5) -> DataFrame:
         found = found.unionByName(search(written(again, "queries"), graph(full, FULL), full, FULL)).groupBy("query", "nb").agg(F.max("sim").alias("sim"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy("vec_id"))
     members = rows.select("vec_id", "id").distinct().withColumn("rank", rank).filter(F.col("rank") <= k + 1).select("vec_id", F.col("id").alias("nb"))
+    def scaled(c: str):  # by a power of two, which rounds nothing: squares of huge and tiny components stay numbers
+        most = F.array_max(F.transform(c, lambda x: F.abs(x)))
+        by = F.pow(F.lit(2.0), F.greatest(F.lit(-1000.0), F.least(F.lit(1000.0), -F.floor(F.log2(most)).cast("double"))))
+        return F.transform(c, lambda x: x * by)
+
     cosine = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     length = lambda c: F.sqrt(F.aggregate(F.col(c), F.lit(0.0), lambda s, x: s + x * x))
-    whole = originals(rows).select(F.col("id").alias("nb"), F.col("embedding").alias("b"))
-    scored = found.join(ask.select("query", F.col("embedding").alias("a")), "query").join(whole, "nb").select("query", "nb", (cosine / (length("a") * length("b"))).alias("score"))
+    whole = originals(rows).select(F.col("id").alias("nb"), scaled("embedding").alias("b"))
+    scored = found.join(ask.select("query", scaled("embedding").alias("a")), "query").join(whole, "nb").select("query", "nb", (cosine / (length("a") * length("b"))).alias("score"))
     every = scored.join(members, "nb").filter("vec_id <> query")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     return every.withColumn("rank", place).filter(F.col("rank") <= k).select(F.col("query").alias("query_id"), F.col("rank").cast("int"), "vec_id", "score")
