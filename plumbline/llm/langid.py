@@ -19,6 +19,8 @@ DIM = 1 << 16
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 #: Training rows of a language: a bounded, hash-drawn sample of those that may be learned from; rare languages give all.
 MAX_TRAIN = 5_000
+#: Languages of a model at most: its matrix of 65,536 numbers each goes to every worker, 128 MB at this bound. More raise.
+MAX_LANGUAGES = 512
 #: N-grams looked up at a time.
 BLOCK = 1 << 19
 
@@ -29,11 +31,10 @@ def _letters() -> np.ndarray:
 
 
 def characters(text: str) -> np.ndarray:
-    """Code points of the lower-cased text; all that aren't letters become one space between words."""
+    """Code points of the lower-cased text; all that aren't letters become one space between words, and one at either end."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    points = np.where(_letters()[points], points, 32).astype(np.uint32)
-    keep = (points != 32) | np.concatenate([[True], points[:-1] != 32]) if len(points) else np.empty(0, bool)
-    return np.concatenate([[32], points[keep], [32]]).astype(np.uint32)
+    points = np.concatenate([[32], np.where(_letters()[points], points, 32), [32]]).astype(np.uint32)
+    return points[(points != 32) | np.concatenate([[True], points[:-1] != 32])]
 
 
 def buckets(points: np.ndarray) -> np.ndarray:
@@ -79,13 +80,17 @@ def fit(labelled: DataFrame, smoothing: float = 0.5, max_train: int = MAX_TRAIN)
     """Learn from ``(doc_id, text, lang)``; rows with a null text or lang are passed over.
 
     Of a language with more than about ``max_train`` rows those with the least hash are used.
-    Counts are summed by Spark; the driver gets at most one number per language and bucket.
+    Counts are summed by Spark; the driver gets at most one number per language and bucket. More than
+    MAX_LANGUAGES different values of lang raise: such a column holds something else.
     """
     small_batches(labelled.sparkSession)
     rows = labelled.select("doc_id", "text", "lang").filter("text is not null and lang is not null")
     h = F.xxhash64("doc_id", F.xxhash64("text"))
     chosen = F.lit(False)
-    for lang, n in rows.groupBy("lang").count().collect():  # as many rows as the model has languages
+    known = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(known) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn, such as {sorted(r.lang for r in known)[:3]}")
+    for lang, n in known:
         chosen = chosen | ((F.col("lang") == lang) & drawn(h, max_train, n))
     rows = rows.filter(chosen)
 
