@@ -4,10 +4,10 @@ Draw number d of replica r of an item with n outlets takes the outlet number ``f
 roster, h being 32 bits mixed from (seed, item), r and d. No random state is shared, so the result doesn't depend on
 partitioning, and nothing passes through the driver.
 
-A block of replicas of an item counts its draws per outlet; the counts are cut by blocks of outlets. There a (replicas x
-outlets) matrix of counts meets the (outlets x periods) matrices of the links' sums and counts, and the two products are
-added up over the blocks of outlets. No row is made for a draw, nor for a replica and period: rows are blocks, and a task
-holds one block of outlets, one of replicas, or the level of all replicas of one item at every period.
+A slice of replicas of an item is one group: it counts its draws per outlet, then meets the item's links block by block of
+outlets. A (replicas x outlets) matrix of counts times an (outlets x periods) matrix of the links' sums and counts is added to the
+slice's own sums. What is shuffled is the links, once a slice: no draw, count or partial product. A task holds the counts of one
+slice, of bounded size, and one block; or the level of all replicas of one item at every period.
 """
 
 from __future__ import annotations
@@ -23,9 +23,8 @@ from plumbline.package import ship
 
 REPLICAS, SEED = 2000, 20240101
 
-#: Outlets in a block, replicas in a block of products, and draws made at a time.
-OUTLETS, SLICE, DRAWS = 2048, 200, 1 << 20
-_MASK = np.uint64(0xFFFFFFFF)
+#: Outlets in a block, replicas in a slice, counts that a slice holds (it has fewer replicas of a larger roster), and draws made at a time.
+OUTLETS, SLICE, COUNTS, DRAWS = 2048, 200, 1 << 26, 1 << 17
 
 
 def hashed(*parts: Column) -> Column:
@@ -34,114 +33,111 @@ def hashed(*parts: Column) -> Column:
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    """A permutation of 32-bit numbers that looks random: a linear step, a shift by its own high bits, a product."""
-    state = (x * np.uint64(747796405) + np.uint64(2891336453)) & _MASK
-    word = (((state >> ((state >> np.uint64(28)) + np.uint64(4))) ^ state) * np.uint64(277803737)) & _MASK
-    return (word >> np.uint64(22)) ^ word
+    """A permutation of 32-bit numbers that looks random: a linear step, a shift by its own high bits, a product; products wrap."""
+    state = x * np.uint32(747796405) + np.uint32(2891336453)
+    word = ((state >> ((state >> np.uint32(28)) + np.uint32(4))) ^ state) * np.uint32(277803737)
+    return (word >> np.uint32(22)) ^ word
 
 
-def draw_counts(stream: int, n: int, first: int, last: int) -> np.ndarray:
+def mixed_draws(n: int) -> np.ndarray:
+    return mixed(np.arange(n, dtype=np.uint32) + np.uint32(0x9E3779B9))
+
+
+def draw_counts(stream: int, n: int, first: int, last: int, draws: np.ndarray | None = None) -> np.ndarray:
     """How often replicas ``first`` to ``last`` - 1 drew each of ``n`` outlets in ``n`` draws; ``stream`` is the item's own number."""
-    replica = mixed((np.uint64(stream) + np.arange(first, last, dtype=np.uint64)) & _MASK)
+    replica = mixed((np.uint64(stream) + np.arange(first, last, dtype=np.uint64)).astype(np.uint32))
+    draws = mixed_draws(n) if draws is None else draws
     counts = np.zeros((last - first) * n, np.int64)
     row = (np.arange(last - first) * n)[:, None]
     for start in range(0, n, DRAWS):
-        draw = mixed((np.arange(start, min(n, start + DRAWS), dtype=np.uint64) + np.uint64(0x9E3779B9)) & _MASK)
-        place = (mixed(replica[:, None] ^ draw) * np.uint64(n)) >> np.uint64(32)
-        counts += np.bincount((place.astype(np.int64) + row).ravel(), minlength=len(counts))
+        place = (mixed(replica[:, None] ^ draws[start : start + DRAWS]).astype(np.uint64) * np.uint64(n)) >> np.uint64(32)
+        counts += np.bincount((place.view(np.int64) + row).ravel(), minlength=len(counts))
     return counts.reshape(-1, n)
 
 
-def _roster(links: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
-    """``(item, outlet, place)`` numbered from 0, and ``(item, n, stream)``."""
-    outlets = links.select("item", "outlet").distinct()
-    placed = outlets.withColumn("place", F.row_number().over(Window.partitionBy("item").orderBy("outlet")) - 1)
-    return placed, placed.groupBy("item").agg(F.count("*").alias("n")).withColumn("stream", hashed(F.lit(seed), F.col("item")))
+def slice_counts(stream: int, n: int, first: int, last: int) -> np.ndarray:
+    """``draw_counts`` made some replicas at a time and held in one byte each, or in four where a replica drew an outlet more often."""
+    draws, step = mixed_draws(n), max(1, DRAWS // n)
+    out = np.empty((last - first, n), np.uint8)
+    for a in range(first, last, step):
+        some = draw_counts(stream, n, a, min(last, a + step), draws)
+        if out.dtype == np.uint8 and some.max() > 255:
+            out = out.astype(np.uint32)
+        out[a - first : a - first + len(some)] = some
+    return out
+
+
+class _Sums:
+    """Weighted sums and counts of the links of one slice's replicas, by period, added up over blocks of outlets."""
+
+    def __init__(self, stream: int, n: int, first: int, last: int) -> None:
+        self.counts, self.ords = slice_counts(stream, n, first, last), np.empty(0, np.int64)
+        self.sums = np.zeros((2, last - first, 0))
+
+    def add(self, block: int, place: np.ndarray, ord_: np.ndarray, total: np.ndarray, n: np.ndarray) -> None:
+        counts = self.counts[:, block * OUTLETS : (block + 1) * OUTLETS].astype(np.float64)
+        ords = np.unique(ord_)
+        grown = np.union1d(self.ords, ords)
+        if len(grown) > len(self.ords):
+            sums = np.zeros((2, len(counts), len(grown)))
+            sums[:, :, np.searchsorted(grown, self.ords)] = self.sums
+            self.ords, self.sums = grown, sums
+        at = np.searchsorted(self.ords, ords)
+        for own, values in zip(self.sums, (total, n), strict=True):
+            side = np.zeros((counts.shape[1], len(ords)))
+            side[place, np.searchsorted(ords, ord_)] = values
+            own[:, at] += counts @ side
+
+
+def _blocks(links: DataFrame, seed: int) -> DataFrame:
+    """``(item, n, stream, block, cells)``: size of the item's roster, its own number, and the links of a block of outlets, numbered within it."""
+    # Sums and counts are taken per outlet first, as a weight multiplies both.
+    own = links.filter("item is not null").groupBy("item", "outlet", "ord").agg(F.sum("log_rel").alias("total"), F.count("log_rel").cast("double").alias("n"))
+    cell = F.struct(F.col("ord").cast("long").alias("ord"), F.coalesce("total", F.lit(0.0)).alias("total"), "n")
+    rows = own.groupBy("item", "outlet").agg(F.collect_list(cell).alias("cells"))
+    placed = rows.withColumn("place", F.row_number().over(Window.partitionBy("item").orderBy("outlet")) - 1)
+    place = (F.col("place") % OUTLETS).cast("int").alias("place")
+    cells = F.transform("cells", lambda c: F.struct(place, c["ord"].alias("ord"), c["total"].alias("total"), c["n"].alias("n")))
+    block = F.floor(F.col("place") / OUTLETS).cast("int").alias("block")
+    blocks = placed.filter("outlet is not null").select("item", block, cells.alias("cells")).groupBy("item", "block").agg(F.flatten(F.collect_list("cells")).alias("cells"))
+    sizes = links.filter("item is not null").select("item", "outlet").distinct().groupBy("item").agg(F.count("*").alias("n"))
+    return blocks.join(sizes.withColumn("stream", hashed(F.lit(seed), F.col("item"))), "item")
 
 
-def _counted(sizes: DataFrame, replicas: int, kind: str) -> DataFrame:
-    """``(item, block, slice, first, width, counts)``: draws of some replicas per outlet of a block, one row each."""
+def _summed(links: DataFrame, replicas: int, seed: int) -> tuple[DataFrame, str]:
+    """``(item, slice, ords, total, n)``: weighted sums and counts of links, replicas x periods as bytes; and the item's type."""
+    spark, kind = links.sparkSession, dict(links.dtypes)["item"]
+    ship(spark)
+    most = F.greatest(F.lit(1), F.least(F.lit(SLICE), F.floor(F.lit(COUNTS) / F.col("n")))).cast("int")
+    slices = F.explode(F.sequence(F.lit(0), F.floor(F.lit(replicas - 1) / F.col("most")).cast("int")))
+    rows = _blocks(links, seed).withColumn("most", most).withColumn("slice", slices)
+    # Work follows the draws, not the bytes: a given number of tasks, which Spark doesn't merge as it would merge small ones.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    rows = rows.repartition(tasks, "item", "slice").sortWithinPartitions("item", "slice", "block")
+    shape = pa.schema([("slice", pa.int32()), ("ords", pa.list_(pa.int64())), ("total", pa.binary()), ("n", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, r in enumerate(batch.to_pylist()):
-                stop = min(replicas, (r["slice"] + 1) * SLICE)
-                step = max(1, DRAWS // r["n"])
-                for first in range(r["slice"] * SLICE, stop, step):
-                    counts = draw_counts(r["stream"], r["n"], first, min(stop, first + step))
-                    cut = [counts[:, a : a + OUTLETS] for a in range(0, r["n"], OUTLETS)]
-                    width = [1 if c.max(initial=0) < 256 else 8 for c in cut]
-                    data = [c.astype("<u1" if w == 1 else "<i8").tobytes() for c, w in zip(cut, width, strict=True)]
-                    item = pa.concat_arrays([batch.column("item").slice(i, 1)] * len(cut))
-                    one = lambda x: pa.array(np.full(len(cut), x), pa.int32())  # noqa: B023, E731
-                    yield pa.RecordBatch.from_arrays([item, pa.array(np.arange(len(cut)), pa.int32()), one(r["slice"]), one(first), pa.array(width, pa.int32()), pa.array(data, pa.binary())], names=["item", "block", "slice", "first", "width", "counts"])
-
-    slices = F.explode(F.sequence(F.lit(0), F.lit((replicas - 1) // SLICE))).alias("slice")
-    return sizes.select("item", "n", "stream", slices).repartition("item", "slice").mapInArrow(run, f"item {kind}, block int, slice int, first int, width int, counts binary")
-
-
-def _products(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    """Sums and counts of links at each period of a block of outlets (left), weighted by the draws of its replicas (right), a row a slice."""
-    ords = np.unique(left.column("ord").to_numpy())
-    sides = [np.zeros((OUTLETS, len(ords))) for _ in range(2)]
-    at = left.column("place").to_numpy() % OUTLETS, np.searchsorted(ords, left.column("ord").to_numpy())
-    for side, name in zip(sides, ("total", "n"), strict=True):
-        side[at] = left.column(name).to_numpy(zero_copy_only=False)
-    out = []
-    own = right.sort_by([("slice", "ascending"), ("first", "ascending")]).to_pylist()
-    for number in sorted({r["slice"] for r in own}):
-        parts = [np.frombuffer(r["counts"], "<u1" if r["width"] == 1 else "<i8") for r in own if r["slice"] == number]
-        firsts = [r["first"] for r in own if r["slice"] == number]
-        outlets = int(left.column("outlets")[0].as_py())
-        counts = np.concatenate([p.reshape(-1, outlets) for p in parts]).astype(np.float64)
-        out.append({"slice": number, "first": firsts[0], "ords": ords.tolist(), "total": (counts @ sides[0][:outlets]).tobytes(), "n": (counts @ sides[1][:outlets]).tobytes()})
-    item = left.column("item").combine_chunks().slice(0, 1)
-    rows = pa.Table.from_pylist(out, pa.schema([("slice", pa.int32()), ("first", pa.int32()), ("ords", pa.list_(pa.int64())), ("total", pa.binary()), ("n", pa.binary())]))
-    return rows.add_column(0, "item", pa.concat_arrays([item] * len(out)) if out else item.slice(0, 0))
-
-
-def _aligned(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Products of several blocks of outlets added at the periods of all of them."""
-    ords = np.unique(np.concatenate([np.array(r["ords"], np.int64) for r in rows]))
-    height = len(rows[0]["n"]) // 8 // max(1, len(rows[0]["ords"]))
-    sums = [np.zeros((height, len(ords))) for _ in range(2)]
-    for r in rows:
-        at = np.searchsorted(ords, r["ords"])
-        for side, name in zip(sums, ("total", "n"), strict=True):
-            side[:, at] += np.frombuffer(r[name]).reshape(height, -1)
-    return ords, *sums
-
+        at, item, held = None, None, None
 
-def _added(key: tuple, table: pa.Table) -> pa.Table:
-    """One slice of replicas: its products over all blocks of outlets."""
-    rows = table.sort_by("block").to_pylist()
-    ords, total, n = _aligned(rows)
-    made = pa.Table.from_pylist([{"slice": rows[0]["slice"], "ords": ords.tolist(), "total": total.tobytes(), "n": n.tobytes()}], pa.schema([("slice", pa.int32()), ("ords", pa.list_(pa.int64())), ("total", pa.binary()), ("n", pa.binary())]))
-    return made.add_column(0, "item", table.column("item").combine_chunks().slice(0, 1))
+        def done() -> pa.RecordBatch:
+            row = [{"slice": at[1], "ords": held.ords.tolist(), "total": held.sums[0].tobytes(), "n": held.sums[1].tobytes()}]
+            own = pa.RecordBatch.from_pylist(row, shape)
+            return pa.RecordBatch.from_arrays([item, *own.columns], names=["item", *shape.names])
 
-
-def _summed(links: DataFrame, replicas: int, seed: int) -> tuple[DataFrame, str]:
-    """``(item, slice, ords, total, n)``: weighted sums and counts of links, replicas x periods as bytes; and the item's type."""
-    ship(links.sparkSession)
-    kind = dict(links.dtypes)["item"]
-    placed, sizes = _roster(links, seed)
-    # Sums and counts are taken per outlet first, as a weight multiplies both.
-    own = links.groupBy("item", "outlet", "ord").agg(F.sum("log_rel").alias("total"), F.count("log_rel").cast("double").alias("n"))
-    width = sizes.select("item", F.col("n").alias("all"))
-    matrix = own.join(placed, ["item", "outlet"]).join(width, "item")
-    block = F.floor(F.col("place") / OUTLETS).cast("int")
-    matrix = matrix.select("item", block.alias("block"), F.col("place").cast("long").alias("place"), F.col("ord").cast("long").alias("ord"), F.coalesce("total", F.lit(0.0)).alias("total"), "n", F.least(F.col("all") - block * OUTLETS, F.lit(OUTLETS)).alias("outlets"))
-    drawn = _counted(sizes, replicas, kind)
-    shape = f"item {kind}, slice int, first int, ords array<bigint>, total binary, n binary"
-
-    def products(key, left, right):
-        if not (left.num_rows and right.num_rows):
-            return pa.table({c: pa.array([], t) for c, t in (("item", left.schema.field("item").type), ("slice", pa.int32()), ("first", pa.int32()), ("ords", pa.list_(pa.int64())), ("total", pa.binary()), ("n", pa.binary()), ("block", pa.int32()))})
-        made = _products(key, left, right)
-        return made.append_column("block", pa.array([left.column("block")[0].as_py()] * made.num_rows, pa.int32()))
-
-    pieces = matrix.groupBy("item", "block").cogroup(drawn.groupBy("item", "block")).applyInArrow(products, shape + ", block int")
-    return pieces.groupBy("item", "slice").applyInArrow(_added, f"item {kind}, slice int, ords array<bigint>, total binary, n binary"), kind
+        for batch in batches:
+            told = batch.drop_columns(["cells"]).to_pylist()
+            for i, r in enumerate(told):
+                if at != (r["item"], r["slice"]):
+                    if held is not None:
+                        yield done()
+                    first = r["slice"] * r["most"]
+                    at, item, held = (r["item"], r["slice"]), batch.column("item").slice(i, 1), None
+                    held = _Sums(r["stream"], r["n"], first, min(replicas, first + r["most"]))
+                held.add(r["block"], *(c.to_numpy(zero_copy_only=False) for c in batch.column("cells").slice(i, 1).flatten().flatten()))
+        if held is not None:
+            yield done()
+
+    return rows.mapInArrow(run, f"item {kind}, slice int, ords array<bigint>, total binary, n binary"), kind
 
 
 def _levels(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:

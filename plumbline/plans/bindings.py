@@ -62,6 +62,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows that a query reads several times, made once."""
+    path = scratch(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 ORD = "cast(year({0})*24+(month({0})-1)*2+case when day({0})>15 then 1 else 0 end as int)"
 SQL = {
     "lines": f"select *, {ORD.format('l_shipdate')} ord from lineitem",

@@ -161,7 +161,8 @@ ci as (select item, ord, quantile_cont(v,0.025) low, quantile_cont(v,0.975) high
 
 @registered(DRAWN + " select item, ord, round(low,6) low, round(high,6) high, round(error,6) error, replicas from ci", "links")
 def bootstrap_ci(spark, sf_dir):
-    return rounded(bootstrap.interval(linked(spark, sf_dir)[0], log=True))
+    links = B.kept(spark, linked(spark, sf_dir)[0], "links")
+    return rounded(bootstrap.interval(links, log=True))
 
 
 @registered(DRAWN + ", g as (select item, c.ord, c.ord=(select min(ord) from cells) based from (select distinct item from ci), (select distinct ord from cells) c) select item, g.ord, round(case when based then coalesce(low,0) else low end,6) low, round(case when based then coalesce(high,0) else high end,6) high, round(case when based then coalesce(error,0) else error end,6) error from g left join ci using (item, ord)", "links")

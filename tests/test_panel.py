@@ -95,6 +95,17 @@ def test_draws_equal_plain_version(monkeypatch):
         assert counts.tolist() == [[plain_draws(4294967290, 23, r).count(o) for o in range(23)] for r in range(3, 11)]
 
 
+def test_replicas_spread_over_tasks_whatever_their_bytes(spark, monkeypatch):
+    """Few bytes stand for many draws: Spark must not merge the slices into one task. Smaller slices give the same interval."""
+    links = spark.createDataFrame([(f"o{o}", item, t, o / 9 + t) for item in "abc" for o in range(9) for t in (1, 2)], "outlet string, item string, ord int, log_rel double")
+    sums = bootstrap._summed(links, bootstrap.REPLICAS, bootstrap.SEED)[0]
+    assert sums.select(F.spark_partition_id()).distinct().count() > 2
+    get = lambda: sorted((r.item, r.ord, round(r.low, 9), round(r.high, 9), round(r.error, 9), r.replicas) for r in bootstrap.interval(links, 300).collect())
+    whole = get()
+    monkeypatch.setattr(bootstrap, "COUNTS", 9 * 70)
+    assert get() == whole and len(whole) == 6
+
+
 def test_interval_equals_plain_version_over_blocks(spark):
     """More outlets than a block has, more replicas than a slice, a null relative and a null item."""
     rng = random.Random(9)
