@@ -65,7 +65,7 @@ def recalculation_pending(spark, sf_dir):
 @registered(DRAWN + ", p as (select item, count(*)/sum(1/cast(n as double))>=1.2 publish from (select item, ord, count(distinct outlet) n from links group by 1,2) group by 1), z as (select item, 100+arg_max(low, ord) low, 100+arg_max(high, ord) high from ci group by 1) select item, round(case when publish then low end,6) low, round(case when publish then high end,6) high, case when publish then printf('%+.2f%% a %+.2f%%', low-100, high-100) end as text from z left join p using (item)", "links")
 def interval_read_out(spark, sf_dir):
     """The last interval of each published item, its logarithms read as if they were per cent."""
-    links = P.links(B.cells(spark, sf_dir))
+    links = B.kept(spark, P.links(B.cells(spark, sf_dir)), "links")
     publish = index.match_summary(links, ["item"], 1.2, 1).select("item", "publish")
     return rounded(bootstrap.read_out(bootstrap.interval(links, log=True).withColumns({"low": 100 + F.col("low"), "high": 100 + F.col("high")}), publish))
 
