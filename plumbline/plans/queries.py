@@ -167,8 +167,9 @@ def bootstrap_ci(spark, sf_dir):
 
 @registered(DRAWN + ", g as (select item, c.ord, c.ord=(select min(ord) from cells) based from (select distinct item from ci), (select distinct ord from cells) c) select item, g.ord, round(case when based then coalesce(low,0) else low end,6) low, round(case when based then coalesce(high,0) else high end,6) high, round(case when based then coalesce(error,0) else error end,6) error from g left join ci using (item, ord)", "links")
 def bootstrap_ci_filled(spark, sf_dir):
-    links, cells = linked(spark, sf_dir)
-    return rounded(bootstrap.filled(bootstrap.interval(links, log=True), cells.select("ord").distinct(), (0.0, 0.0, 0.0)))
+    links = B.kept(spark, linked(spark, sf_dir)[0], "links")
+    calendar = B.feed(spark, sf_dir).select("ord").distinct()  # the periods of the cells
+    return rounded(bootstrap.filled(bootstrap.interval(links, log=True), calendar, (0.0, 0.0, 0.0)))
 
 
 # ---- coverage, levels, wages
