@@ -140,8 +140,8 @@ union all select 'endpoints', round(ln(exp(avg(ln(b/a)))),6) from p where a is n
 union all select 'chained Dutot', round(ln(exp(sum(ln(dutot)))),6) from m
 union all select 'chained Carli', round(ln(exp(sum(ln(carli)))),6) from m""", "cells")
 def estimator_contrast(spark, sf_dir):
-    links, cells = linked(spark, sf_dir)
-    return rounded(contrast.contrast(cells, links).select("estimator", F.log(1 + F.col("change")).alias("log_change")))
+    cells = B.kept(spark, B.cells(spark, sf_dir).select("outlet", "item", "ord", "price"), "cells")
+    return rounded(contrast.contrast(cells).select("estimator", F.log(1 + F.col("change")).alias("log_change")))
 
 
 # ---- bootstrap

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import bootstrap, coverage, dims, index, levels
+from plumbline.operators import bootstrap, contrast, coverage, dims, index, levels
 from plumbline.operators import panel as P
 
 GOLDEN = [("A", "x", 1, 10.0), ("B", "x", 1, 20.0), ("A", "x", 2, 12.0), ("B", "x", 2, 20.0), ("C", "x", 2, 30.0), ("B", "x", 3, 25.0), ("C", "x", 3, 30.0)]
@@ -201,3 +201,25 @@ def test_index_without_a_price_at_the_base_and_a_zero_price(spark):
     calendar = spark.createDataFrame([(i,) for i in (1, 2, 3)], "ord int")
     got = {r.ord: r["index"] for r in I.chained_index(links.filter("ord < 4"), cells.filter("ord < 4"), calendar, [], threshold=1, floor=1).collect()}
     assert set(got) == {1, 2, 3} and got[1] is None and abs(got[3] - 200) < 1e-9
+
+
+def test_contrast_equals_plain_version_from_one_join(spark):
+    """Gaps, an outlet without every period, a null price, null keys; the panel meets itself without a join."""
+    rows = [("a", "x", 1, 10.0), ("a", "x", 2, 11.0), ("a", "x", 3, 12.0), ("a", "y", 1, 5.0), ("a", "y", 3, 7.0), ("b", "x", 2, 4.0), ("b", "x", 3, 6.0), ("b", "y", 2, None), ("b", "y", 3, 9.0), (None, "x", 1, 2.0), (None, "x", 2, 3.0), ("c", None, 1, 8.0), ("c", None, 3, 10.0)]
+    cells = spark.createDataFrame(rows, "outlet string, item string, ord int, price double")
+    made = contrast.contrast(cells, None)
+    assert "SortMergeJoin" not in (plan := made._jdf.queryExecution().executedPlan().toString()) and plan.count("Window ") <= 2
+    got = {r.estimator: r.change for r in made.collect()}
+    known = {r[:3]: r[3] for r in rows}
+    pairs = [(t, p, known[o, i, t - 1]) for o, i, t, p in rows if None not in (o, i) and (o, i, t - 1) in known]
+    mean = lambda x: sum(x) / len(x)
+    dutot = [sum(p for u, p, _ in pairs if u == t and p is not None) / sum(z for u, _, z in pairs if u == t and z is not None) for t in (2, 3)]
+    carli = [mean([p / z for u, p, z in pairs if u == t and p is not None and z is not None]) for t in (2, 3)]
+    ends = [(known[o, i, 1], p) for o, i, t, p in rows if t == 3 and known.get((o, i, 1))]
+    at = lambda t, own: mean([p for o, _, u, p in rows if u == t and o in own])
+    expected = {
+        "simple mean": at(3, ("a", "b", "c", None)) / at(1, ("a", "b", "c", None)) - 1, "balanced panel": at(3, ("a",)) / at(1, ("a",)) - 1,
+        "endpoints": math.exp(mean([math.log(b / a) for a, b in ends])) - 1, "chained Dutot": math.prod(dutot) - 1, "chained Carli": math.prod(carli) - 1,
+    }
+    assert got == pytest.approx(expected)
+    assert {r.estimator: r.change for r in contrast.contrast(cells.limit(0), None).collect()} == dict.fromkeys(expected)
