@@ -54,14 +54,16 @@ def run_bronze(store: sinks.Store, table: str, paths: Sequence[str], manifest: D
     path = store.path("bronze", table)
     have = store.read("bronze", table) if store.has("bronze", table) else None
     todo = state.pending(manifest, have, {"period": "_period", "attempt": "_attempt"})
-    names = {r.file.lstrip("/") for r in todo.select("file").collect()}  # one row a file
+    told = todo.collect()  # one row a file, compared with the table once
+    todo = store.spark.createDataFrame(told, manifest.schema)
+    names = {r.file.lstrip("/") for r in told}
     wanted = [p for p in paths if not names.isdisjoint(landing.endings(p))]
     if wanted:
         rows = landing.parquet_landing(store.spark, wanted, todo)
         expected = todo.groupBy(F.col("period").alias("_period"), F.col("attempt").alias("_attempt")).agg(F.sum("rows").alias("expected"))
         gates.enforce(state.unreconciled(rows, expected, ["_period", "_attempt"]), "rows read are not those declared")
         sinks.append(landing.audited(rows, run_id, {"_attempt": "bigint"}), path)
-    batches = todo.select("period", "attempt").distinct().count() if wanted else 0
+    batches = len({(r.period, r.attempt) for r in told}) if wanted else 0
     log.note(f"bronze.{table}", batches=batches, files=len(wanted))
     return batches
 
@@ -88,6 +90,7 @@ def run_silver(store: sinks.Store, table: str, spec: FeedSpec, asked: str, log:
     priced = batch.withColumns({spec.price: F.col(spec.price).cast("decimal(10,2)"), "ord": periods.ordinal(F.col("_period"))})
     panel = P.PanelSpec(outlet=spec.outlet, item=spec.item, price=spec.price, attempt="_attempt")
     cells = P.cells(panel.of(priced)).withColumn("label", periods.label_of_ordinal(F.col("ord")))
+    cells = store.kept("silver", f"_{table}_cells", cells)  # made once, for the gate and the table
     gates.enforce(gates.broken(cells, {"positive price": "price_min > 0"}), "cell rules")
     one = lambda names: F.col(names[0]) if len(names) == 1 else key(*names)
     for name, nat, attributes in (("items", spec.item, spec.item_attributes), ("outlets", spec.outlet, spec.outlet_attributes)):

@@ -52,7 +52,7 @@ def replace_periods(df: DataFrame, path: str, column: str, periods: Sequence) ->
     Periods are compared as the text that names their folder, whatever the column's type. No listed
     period: nothing happens. A row of another period raises before anything is written. A listed
     period without a row ends up empty; it goes after the new rows are written. Columns or types that aren't the
-    table's raise before anything is written.
+    table's raise before anything is written. The rows are written beside the table first, so that costly ones are made once.
     """
     if not periods:
         return
@@ -61,13 +61,18 @@ def replace_periods(df: DataFrame, path: str, column: str, periods: Sequence) ->
         have, new = ({f.name: f.dataType for f in x.schema if f.name != column} for x in (spark.read.parquet(path), df))
         if have and have != new:
             raise ValueError(f"schema differs from the table's: {new} against {have}")
-    name = F.col(column).cast("string")
-    filled = {r[0] for r in df.select(name).distinct().limit(len(asked) + 1).collect()}
-    if filled - asked:
-        stray = df.filter(~F.coalesce(name.isin(*asked), F.lit(False))).first()
-        raise ValueError(f"a row lies outside the replaced periods: {stray.asDict()}")
-    df.hint("rebalance", F.col(column)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
-    fs, at = _fs(spark, path)
+    path = path.rstrip("/")
+    name, fs, at = F.col(column).cast("string"), *_fs(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}.batch")
+    try:
+        batch = spark.read.schema(df.schema).parquet(f"{path}.batch")
+        filled = {r[0] for r in batch.select(name).distinct().limit(len(asked) + 1).collect()}
+        if filled - asked:
+            stray = batch.filter(~F.coalesce(name.isin(*asked), F.lit(False))).first()
+            raise ValueError(f"a row lies outside the replaced periods: {stray.asDict()}")
+        batch.hint("rebalance", F.col(column)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    finally:
+        fs.delete(_fs(spark, f"{path}.batch")[1], True)
     for status in fs.listStatus(at):
         key, _, value = status.getPath().getName().partition("=")
         if key == column and unquote(value) in asked - filled:

@@ -100,6 +100,23 @@ def test_feed_columns_named_as_the_stars():
         layers.FeedSpec(outlet=("outlet",), outlet_attributes=(), item=("sku",), item_attributes=(), price="price")
 
 
+def test_period_replacement_makes_its_rows_once(spark, tmp_path):
+    """Rows are made once for the check and the table, and nothing of them stays beside it, not even after a refusal."""
+    path, made = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.createDataFrame([(1, 7), (2, 8), (2, 9)], "ord int, x int").mapInArrow(counted, "ord int, x int")
+    sinks.replace_periods(rows, path, "ord", [1, 2, 3])
+    assert made.value == 3 and spark.read.parquet(path).count() == 3
+    with pytest.raises(ValueError, match="outside"):
+        sinks.replace_periods(rows, path, "ord", [1])
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 def test_upsert_makes_its_batch_once(spark, tmp_path):
     """The batch is read from what was written, and nothing of it stays behind, not even after a refusal."""
     path, made = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
