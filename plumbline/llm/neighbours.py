@@ -27,8 +27,8 @@ ORDERS, RUN = 4, 64
 ENOUGH = 0.03
 #: A node is crowded if all its DEGREE neighbours are at least this near; rounding shifts cosines by far less than 1 - CROWDED.
 CROWDED = 0.99
-#: Search: entry points drawn from all nodes, candidates held and expanded at once per query.
-ENTRIES, BEAM, STEP = 256, 200, 40
+#: Search: entry points drawn from all nodes, those a query starts at, candidates held per query.
+ENTRIES, START, BEAM = 256, 40, 200
 
 EDGE = "id long, nb long, sim double"
 #: How the bytes of a node hold its vector: rounded for the graph over all nodes, in full for crowded ones.
@@ -72,6 +72,15 @@ def groups(batches: Batches, key: str) -> Iterator[pa.RecordBatch]:
         yield held
 
 
+def first_of(*columns: np.ndarray) -> np.ndarray:
+    """Where rows sorted by ``columns`` begin a new tuple."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
 def edges_batch(a: np.ndarray, b: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())], names=["id", "nb", "sim"])
 
@@ -109,7 +118,7 @@ def crowded(edges: DataFrame, rows: DataFrame) -> DataFrame:
 
 def top(edges: DataFrame, n: int) -> DataFrame:
     """The ``n`` nearest of each id, each neighbour once; ``fresh`` stays false for those known before."""
-    once = edges.repartition("id").groupBy("id", "nb").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+    once = edges.repartition("id").groupBy("id", "nb").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh")).filter("sim is not null")
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("sim"), "nb"))
     return once.withColumn("rank", rank).filter(F.col("rank") <= n).drop("rank")
 
@@ -173,6 +182,8 @@ def descend(edges: DataFrame, nodes: DataFrame, kind: type) -> DataFrame:
     def compared(batches: Batches) -> Batches:
         held, n_held = [], 0
         for part in groups(batches, "id"):
+            tried = part.filter(part.column("fresh"))  # without a nearness: says no more than that the pair has had its turn
+            yield pa.RecordBatch.from_arrays([tried.column("id"), tried.column("nb"), pa.nulls(tried.num_rows, pa.float64())], names=["id", "nb", "sim"])
             held.append(_compare(part, kind))
             n_held += len(held[-1][0])
             if n_held > 2_000_000:
@@ -180,10 +191,8 @@ def descend(edges: DataFrame, nodes: DataFrame, kind: type) -> DataFrame:
                 held, n_held = [], 0
         yield from _nearest_of(held)
 
-    found = met.mapInArrow(compared, EDGE).withColumn("fresh", F.lit(True))
-    used = members.filter("fresh").select("id", "nb", F.lit(True).alias("used"))
-    aged = edges.join(used, ["id", "nb"], "left").select("id", "nb", "sim", (F.col("fresh") & F.col("used").isNull()).alias("fresh"))
-    return top(aged.unionByName(found), DEGREE)
+    found = met.mapInArrow(compared, EDGE).withColumn("fresh", F.col("sim").isNotNull())
+    return top(edges.select("id", "nb", "sim", "fresh").unionByName(found), DEGREE)
 
 
 def _nearest_of(found: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -241,8 +250,9 @@ def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, kind: type =
     """``(query, nb, sim)``: up to ``beam`` nodes near each query ``(query, unit, home)``.
 
     Starts at ``home``, the query's own node or one near it, and at the nearest of a bounded number
-    of entry points drawn by hash; then the nearest unexpanded candidates of every query are expanded
-    over the graph's links, both ways, until none is left among the nearest.
+    of entry points drawn by hash; then all unexpanded candidates of every query are expanded over the
+    graph's links, both ways, until none is left among the nearest. A hop is one shuffle by query, in
+    which what was reached meets what is held.
     """
     small_batches(nodes.sparkSession)
     links = written(both_ways(edges.select("id", "nb")).distinct().repartition("id"), "search-links")
@@ -250,6 +260,7 @@ def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, kind: type =
     ids, points = np.array(drawn.column("id").to_pylist(), np.int64), drawn.column("unit").to_pylist()
     shared = nodes.sparkSession.sparkContext.broadcast((ids, points))
     schema = "query long, nb long, sim double, open boolean"
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def entered(batches: Batches) -> Batches:
         ids, points = shared.value
@@ -257,33 +268,47 @@ def search(queries: DataFrame, edges: DataFrame, nodes: DataFrame, kind: type =
             if not batch.num_rows or not len(ids):
                 continue
             sims = matrix(batch.column("unit").to_pylist(), kind) @ matrix(points, kind).T
-            n = min(STEP, len(ids))
+            n = min(START, len(ids))
             best = np.argpartition(-sims, n - 1, axis=1)[:, :n]
             rows = pa.array(np.repeat(batch.column("query").to_numpy(), n), pa.int64()), pa.array(ids[best].ravel(), pa.int64()), pa.array(np.take_along_axis(sims, best, 1).ravel(), pa.float64())
-            yield pa.RecordBatch.from_arrays([*rows, pa.array(np.ones(best.size, bool))], names=["query", "nb", "sim", "open"])
-
-    def measured(batches: Batches) -> Batches:
-        for batch in batches:
-            if batch.num_rows:
-                sims = (matrix(batch.column("unit").to_pylist(), kind) * matrix(batch.column("other").to_pylist(), kind)).sum(1)
-                yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("nb"), pa.array(sims, pa.float64()), pa.array(np.ones(len(sims), bool))], names=["query", "nb", "sim", "open"])
-
-    def best(held: DataFrame) -> DataFrame:
-        once = held.repartition("query").groupBy("query", "nb").agg(F.max("sim").alias("sim"), F.min("open").alias("open"))
-        rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "nb"))
-        return once.withColumn("rank", rank).filter(F.col("rank") <= beam).drop("rank")
+            yield pa.RecordBatch.from_arrays([*rows, pa.array(np.ones(best.size, bool))], names=names)
+
+    def hopped(batches: Batches) -> Batches:
+        """Of each query: candidates held (no unit) and reached (own and query's unit), each once, the nearest ``beam`` kept."""
+        for part in groups(batches, "query"):
+            query, nb = part.column("query").to_numpy(), part.column("nb").to_numpy()
+            sim, open_ = part.column("sim").to_numpy(zero_copy_only=False).copy(), part.column("open").to_numpy(zero_copy_only=False).astype(bool)
+            home = part.column("home").fill_null(-1).to_numpy()
+            order = np.lexsort((home, np.isnan(sim), nb, query))  # what is held comes first and shuts out the same node reached
+            pair = first_of(query[order], nb[order])
+            held = ~np.isnan(sim[order[pair]])[np.cumsum(pair) - 1]
+            order = order[pair | (~held & first_of(query[order], nb[order], home[order]))]
+            new = order[np.isnan(sim[order])]
+            for i in range(0, len(new), 10_000):
+                some = pa.array(new[i : i + 10_000])
+                mine, other = (matrix(part.column(c).take(some).to_pylist(), kind) for c in ("unit", "other"))
+                sim[new[i : i + 10_000]] = (mine * other).sum(1)
+            order = order[np.lexsort((-sim[order], nb[order], query[order]))]  # a query of several vectors: its nearest counts
+            order = order[first_of(query[order], nb[order])]
+            order = order[np.lexsort((nb[order], -sim[order], query[order]))]
+            q = query[order]
+            start = np.flatnonzero(first_of(q))
+            order = order[np.arange(len(q)) - np.repeat(start, np.diff(np.append(start, len(q)))) < beam]
+            yield pa.RecordBatch.from_arrays([pa.array(query[order]), pa.array(nb[order]), pa.array(sim[order]), pa.array(open_[order])], names=names)
+
+    def best(held: DataFrame, reached: DataFrame) -> DataFrame:
+        new = reached.select("query", "nb", F.lit(None).cast("double").alias("sim"), F.lit(True).alias("open"), "home", "unit", "other")
+        both = held.unionByName(new, allowMissingColumns=True)
+        return both.repartition("query").sortWithinPartitions("query").mapInArrow(hopped, schema)
 
     home = queries.filter("home is not null").select("query", F.col("home").alias("nb"), F.lit(1.0).alias("sim"), F.lit(True).alias("open"))
-    held = written(best(queries.mapInArrow(entered, schema).unionByName(home)), "beam")
+    held = written(queries.mapInArrow(entered, schema).unionByName(home).groupBy("query", "nb").agg(F.max("sim").alias("sim"), F.lit(True).alias("open")), "beam")
+    known, asked = nodes.select(F.col("id").alias("nb"), F.col("unit").alias("other")), queries.select("query", "home", "unit")
     while True:
-        turn = F.row_number().over(Window.partitionBy("query", "open").orderBy(F.desc("sim"), "nb"))
-        marked = held.withColumn("now", F.col("open") & (turn <= STEP))
-        front = marked.filter("now").select("query", F.col("nb").alias("id"))
-        reached = front.join(links, "id").select("query", "nb").distinct().join(held.select("query", "nb"), ["query", "nb"], "left_anti")
-        sized = reached.join(nodes.select(F.col("id").alias("nb"), F.col("unit").alias("other")), "nb").join(queries.select("query", "unit"), "query").select("query", "nb", "unit", "other")
-        held = written(best(marked.select("query", "nb", "sim", (F.col("open") & ~F.col("now")).alias("open")).unionByName(sized.mapInArrow(measured, schema))), "beam")
+        reached = held.filter("open").select("query", F.col("nb").alias("id")).join(links, "id").select("query", "nb").join(known, "nb").join(asked, "query")
+        held = written(best(held.withColumn("open", F.lit(False)), reached), "beam")
         if not held.filter("open").limit(1).count():
-            break  # every hop closes STEP candidates of a query, and each node is opened once
+            break  # every hop closes all candidates held, and each node is opened once
     return held.select("query", "nb", "sim")
 
 
