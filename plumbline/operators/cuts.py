@@ -45,13 +45,15 @@ def _grouped(rows: DataFrame, cuts: Sequence[str], keep: Sequence[str], aggregat
     return out.select("cut", value.alias("value"), *keep, *(F.col(a) for a in out.columns if a not in {*keep, *cuts, "cut"}))
 
 
-def per_period(links: DataFrame, numbers: DataFrame, cuts: Sequence[str]) -> DataFrame:
+def per_period(links: DataFrame, numbers: DataFrame | None, cuts: Sequence[str]) -> DataFrame:
     """``(cut, value, ord, mean_rel, matched)``: as ``index.per_period``, at each cut and in total, from one pass over the links.
 
-    ``links`` has outlet, ord, log_rel and the cut columns, ``numbers`` (outlet, number). A null relative is no link: neither it
+    ``links`` has outlet, ord, log_rel and the cut columns, ``numbers`` (outlet, number); without it, ``links`` has number. A null relative is no link: neither it
     nor its outlet counts. A null value of a cut is a group of its own.
     """
-    rows = links.filter(F.col("log_rel").isNotNull()).join(numbers, "outlet").select("ord", *cuts, "log_rel", F.bitmap_bucket_number("number").alias("_bucket"), F.bitmap_bit_position("number").alias("_bit"))
+    known = links.filter(F.col("log_rel").isNotNull())
+    known = known.filter(F.col("number").isNotNull()) if numbers is None else known.join(numbers, "outlet")
+    rows = known.select("ord", *cuts, "log_rel", F.bitmap_bucket_number("number").alias("_bucket"), F.bitmap_bit_position("number").alias("_bit"))
     pieces = _grouped(rows, cuts, ["ord", "_bucket"], [F.sum("log_rel").alias("total"), F.count("*").alias("n"), F.bitmap_count(F.bitmap_construct_agg("_bit")).alias("outlets")])
     return pieces.groupBy("cut", "value", "ord").agg((F.sum("total") / F.sum("n")).alias("mean_rel"), F.sum("outlets").alias("matched"))
 

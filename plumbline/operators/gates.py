@@ -19,13 +19,24 @@ def enforce(violations: DataFrame, name: str, sample: int = 10) -> None:
         raise GateError(f"{name}: " + "; ".join(str(r.asDict(recursive=True)) for r in rows))
 
 
-def _blank(column: str) -> Column:
+def enforce_each(df: DataFrame, bad: Column, gates: dict[str, DataFrame]) -> None:
+    """``enforce`` of several gates on rules that a row breaks by itself: ``bad`` is a row that breaks any, and only if there is one each gate is asked."""
+    if df.filter(bad).limit(1).collect():
+        for name, violations in gates.items():
+            enforce(violations, name)
+
+
+def is_blank(column: str) -> Column:
     return F.col(column).isNull() | (F.trim(F.col(column).cast("string")) == "")
 
 
+def is_malformed(column: str, pattern: str) -> Column:
+    return ~F.coalesce(F.col(column).rlike(pattern), F.lit(False))
+
+
 def blank_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(column, blanks)`` of the columns that have a null or blank value, from one pass."""
-    wide = df.agg(*(F.count_if(_blank(c)).alias(f"c{i}") for i, c in enumerate(columns)))
+    wide = df.agg(*(F.count_if(is_blank(c)).alias(f"c{i}") for i, c in enumerate(columns)))
     pairs = ", ".join(f"'{c}', c{i}" for i, c in enumerate(columns))
     return wide.selectExpr(f"stack({len(columns)}, {pairs}) as (column, blanks)").filter("blanks > 0")
 
@@ -125,7 +136,7 @@ def other_series(df: DataFrame, expected: dict[str, str]) -> DataFrame:
 
 
 def malformed(df: DataFrame, column: str, pattern: str) -> DataFrame:
-    return df.select(column).distinct().filter(~F.coalesce(F.col(column).rlike(pattern), F.lit(False)))
+    return df.select(column).distinct().filter(is_malformed(column, pattern))
 
 
 def lost_accents(df: DataFrame, columns: list[str]) -> DataFrame:

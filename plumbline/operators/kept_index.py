@@ -17,19 +17,20 @@ from plumbline.operators.index import FLOOR, THRESHOLD
 from plumbline.sources import sinks
 
 
-def refresh(path: str, cells: DataFrame, outlets: DataFrame, by: Sequence[str], changed: Sequence[int]) -> None:
+def refresh(path: str, cells: DataFrame, outlets: DataFrame, by: Sequence[str], changed: Sequence[int], links: DataFrame | None = None) -> None:
     """Bring the state below ``path`` to ``cells`` (outlet, item, ord, price) in the changed periods; a first call lists all.
 
     ``outlets`` (outlet, attributes) holds the columns of ``by`` that aren't the cells'. The links of a changed period and of the
-    one after it are made anew. A changed period without cells any more loses its rows.
+    one after it are made anew, or read from ``links`` (outlet, item, ord, log_rel) if given. A changed period without cells any more
+    loses its rows.
     """
     if not changed:
         return
     changed = sorted(set(changed))
     touched = sorted({o for c in changed for o in (c, c + 1)})
-    numbers = cuts.dense(outlets, ["outlet"], "number")
-    links = P.star(P.links_of_batch(cells, changed), outlets, "outlet")
-    sinks.replace_periods(cuts.per_period(links, numbers, by), f"{path}/stats", "ord", touched)
+    members = sinks.kept(P.star(outlets, cuts.dense(outlets, ["outlet"], "number"), "outlet"), f"{path}/members")  # numbered once, in a query of its own
+    made = P.links_of_batch(cells, changed) if links is None else links.filter(F.col("ord").isin(touched)).select("outlet", "item", "ord", "log_rel")
+    sinks.replace_periods(cuts.per_period(P.star(made, members, "outlet"), None, by), f"{path}/stats", "ord", touched)
     seen = P.star(cells.filter(F.col("ord").isin(changed)), outlets, "outlet")
     sinks.replace_periods(cuts.presence(seen, by), f"{path}/seen", "ord", changed)
 

@@ -163,15 +163,17 @@ def gold_star(spark, sf_dir):
     price = F.col("l_extendedprice").cast("decimal(10,2)")
     rows = feed.select(said.alias("shop"), "chain", "state", F.col("p_brand").alias("sku"), F.substring("p_brand", 7, 1).alias("maker"), price.alias("price"), periods.label_of_ordinal(F.col("ord")).alias("period"), "ord")
     late = F.col("ord") % 3 == 1
-    first = rows.withColumn("price", F.when(late, F.col("price") * 2).otherwise(F.col("price")))
-    for attempt, own in ((1, first), (2, rows.filter(late))):
-        own.withColumn("price", F.col("price").cast("string")).drop("ord").repartition("period").write.partitionBy("period").parquet(f"{path}/{attempt}")
+    one = lambda attempt, value: F.struct(F.lit(attempt).alias("attempt"), value.cast("string").alias("price"))
+    price = F.col("price")
+    attempts = F.when(late, F.array(one(1, price * 2), one(2, price))).otherwise(F.array(one(1, price)))
+    files_of = rows.withColumn("told", F.explode(attempts)).withColumns({"price": F.col("told.price"), "attempt": F.col("told.attempt")}).drop("told", "ord")
+    files_of.repartition("attempt", "period").write.partitionBy("attempt", "period").parquet(f"{path}/files")
     store, paths = sinks.Store(spark, f"{path}/lake"), []
     for attempt in (1, 2):
-        own = manifest_of(spark, f"{path}/{attempt}", "period", attempt).withColumn("file", F.concat(F.lit(f"{attempt}/"), "file"))
+        own = manifest_of(spark, f"{path}/files/attempt={attempt}", "period", attempt).withColumn("file", F.concat(F.lit(f"attempt={attempt}/"), "file"))
         own.coalesce(1).write.mode("append").json(f"{path}/manifest")  # one row a file
         told = landing.manifest(spark, f"{path}/manifest", MANIFEST)
-        paths += [r.path for r in files.listed(spark, f"{path}/{attempt}/period=*/*.parquet").select("path").collect()]  # one row a file
+        paths += [r.path for r in files.listed(spark, f"{path}/files/attempt={attempt}/period=*/*.parquet").select("path").collect()]  # one row a file
         layers.run_bronze(store, "prices", paths, told, f"r{attempt}", log.part(f"{attempt}."))
         labels = layers.run_silver(store, "prices", SPEC, "", log.part(f"{attempt}."))
         layers.run_gold(store, labels, 20, log.part(f"{attempt}."), ["item", "chain", "state"])

@@ -70,8 +70,9 @@ def run_bronze(store: sinks.Store, table: str, paths: Sequence[str], manifest: D
 
 def run_silver(store: sinks.Store, table: str, spec: FeedSpec, asked: str, log: sinks.RunLog) -> list[str]:
     """Cells and dimensions of the pending or asked periods; returns the periods written."""
-    rows = state.current(store.read("bronze", table), "_period", "_attempt")
-    known = rows.select(F.col("_period").alias("label"), "_attempt").distinct()
+    landed = store.read("bronze", table)
+    rows = state.current(landed, "_period", "_attempt")
+    known = landed.groupBy(F.col("_period").alias("label")).agg(F.max("_attempt").alias("_attempt")).dropna()  # the batches that ``current`` keeps
     done = store.read("silver", "cells").select("label", "attempt") if store.has("silver", "cells") else None
     todo = state.selected(asked, state.pending(known, done, {"label": "label", "_attempt": "attempt"}), known)
     labels = sorted(r.label for r in todo.collect())
@@ -82,9 +83,14 @@ def run_silver(store: sinks.Store, table: str, spec: FeedSpec, asked: str, log:
     batch = text.canonical(batch, [*spec.outlet, *spec.outlet_attributes], spec.words, spec.typos)
     batch = store.kept("silver", f"_{table}_batch", batch)  # repaired once, read by every gate and by the tables
     natural = [*spec.outlet, *spec.item]
-    gates.enforce(gates.malformed(batch, "_period", periods.PATTERN), "period format")
-    gates.enforce(gates.blank_counts(batch, [*natural, spec.price]), "blank columns")
-    gates.enforce(gates.illegal_characters(batch, ["_period"], [*spec.outlet, *spec.outlet_attributes]), "illegal characters")
+    outlet = [*spec.outlet, *spec.outlet_attributes]
+    bad = gates.is_malformed("_period", periods.PATTERN)
+    for broken in (*(gates.is_blank(c) for c in (*natural, spec.price)), *(F.coalesce(text.is_illegal(F.col(c)), F.lit(False)) for c in outlet)):
+        bad = bad | broken
+    gates.enforce_each(batch, bad, {
+        "period format": gates.malformed(batch, "_period", periods.PATTERN), "blank columns": gates.blank_counts(batch, [*natural, spec.price]),
+        "illegal characters": gates.illegal_characters(batch, ["_period"], outlet),
+    })
     if spec.item_attributes:
         gates.enforce(gates.several_values(batch, list(spec.item), list(spec.item_attributes)), "several values of an item")
     priced = batch.withColumns({spec.price: F.col(spec.price).cast("decimal(10,2)"), "ord": periods.ordinal(F.col("_period"))})
@@ -95,7 +101,8 @@ def run_silver(store: sinks.Store, table: str, spec: FeedSpec, asked: str, log:
     one = lambda names: F.col(names[0]) if len(names) == 1 else key(*names)
     for name, nat, attributes in (("items", spec.item, spec.item_attributes), ("outlets", spec.outlet, spec.outlet_attributes)):
         dim = batch.groupBy(*nat).agg(*(F.max(a).alias(a) for a in attributes), F.count("*").alias("_n")).drop("_n").withColumn(f"{name[:-1]}_key", one(nat))
-        gates.enforce(gates.repeated_keys(dim, f"{name[:-1]}_key"), f"{name}: one key for several members")
+        if len(nat) > 1:  # a key of one column is that column, by which the rows are grouped
+            gates.enforce(gates.repeated_keys(dim, f"{name[:-1]}_key"), f"{name}: one key for several members")
         log.note(f"silver.{table}.{name}", **sinks.upsert(dim, store.path("silver", name), list(nat), SMALL))
     sinks.replace_periods(cells, store.path("silver", "cells"), "label", labels)
     log.note(f"silver.{table}", periods=len(labels))
@@ -118,9 +125,12 @@ def run_gold(store: sinks.Store, labels: Sequence[str], replicas: int, log: sink
         log.note("gold", links=0)
         return
     cells = store.read("silver", "cells")
-    calendar = cells.select("label", "ord").distinct()
-    gates.enforce(gates.calendar_gaps(calendar), "calendar gap")
-    at = {r.label: r.ord for r in calendar.collect()}
+    seen = cells.select("label", "ord").distinct()
+    told = seen.collect()  # one row a period
+    at = {r.label: r.ord for r in told}
+    calendar = store.spark.createDataFrame(told, seen.schema)
+    if at and max(at.values()) - min(at.values()) >= len(at):
+        gates.enforce(gates.calendar_gaps(calendar), "calendar gap")
     changed = sorted(at[x] for x in labels if x in at)
     known = deflator if deflator is not None else store.spark.createDataFrame([], "label string, deflator double")
     dimensions = {"calendar": (dims.half_months(calendar, known), "period_id")}
@@ -135,7 +145,9 @@ def run_gold(store: sinks.Store, labels: Sequence[str], replicas: int, log: sink
     links = P.links_of_batch(prices, changed).withColumn("label", periods.label_of_ordinal(F.col("ord")))
     touched = [x for x in at if at[x] in changed or at[x] - 1 in changed]
     _replaced(store, "links", links, touched)
-    kept_index.refresh(store.path("gold", "index"), prices, dimensions["outlets"][0], list(cuts), changed)
-    whole = store.read("gold", "links").select("outlet", "item", "ord", "log_rel")
-    interval = bootstrap.filled(bootstrap.interval(whole, replicas), calendar)
+    kept = store.read("gold", "links")
+    whole = kept.select("outlet", "item", "ord", "log_rel")
+    kept_index.refresh(store.path("gold", "index"), prices, dimensions["outlets"][0], list(cuts), changed, kept.filter(F.col("label").isin(touched)))
+    interval = store.kept("gold", "_interval", bootstrap.interval(whole, replicas))  # made once, read for its items and its rows
+    interval = bootstrap.filled(interval, calendar)
     log.note("gold", links=whole.count(), **sinks.upsert(interval, store.path("gold", "interval"), ["item", "ord"], SMALL))

@@ -20,6 +20,24 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+#: What Spark names the folder of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folders(spark: SparkSession, path: str, column: str) -> dict[str | None, object]:
+    """The partitions of a folder that Spark wrote by ``column``: the text that names each, None for no value, and its own folder."""
+    fs, at = _fs(spark, path)
+    parts = [(status.getPath().getName().partition("="), status.getPath()) for status in fs.listStatus(at)] if fs.exists(at) else []
+    return {None if value == NO_VALUE else unquote(value): own for (key, _, value), own in parts if unquote(key).lower() == column.lower()}
+
+
+def _moved(fs, source, target) -> None:
+    """Put a folder in place of another."""
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"not moved: {source} to {target}")
+
+
 def append(df: DataFrame, path: str) -> None:
     """Append rows whose columns and types are the table's; anything else raises before a row is written."""
     spark = df.sparkSession
@@ -49,34 +67,38 @@ def append_once(df: DataFrame, path: str, source: str, batch: int | str) -> None
 def replace_periods(df: DataFrame, path: str, column: str, periods: Sequence) -> None:
     """Put ``df`` in place of exactly the listed periods of a table partitioned by ``column``.
 
-    Periods are compared as the text that names their folder, whatever the column's type. No listed
-    period: nothing happens. A row of another period raises before anything is written. A listed
-    period without a row ends up empty; it goes after the new rows are written. Columns or types that aren't the
-    table's raise before anything is written. The rows are written beside the table first, so that costly ones are made once.
+    Periods are compared as the text that names their folder, whatever the column's type; an empty text names none and raises.
+    No listed period: nothing happens. A row of another period raises before the table is touched. A listed
+    period without a row ends up empty; it goes after the new rows are in place. Columns or types that aren't the
+    table's raise before anything is written. The rows are made and written once, by period beside the table, whose folders
+    they then replace: the driver plans and keeps one query a replacement.
     """
     if not periods:
         return
     spark, asked = df.sparkSession, {str(p) for p in periods}
+    if "" in asked:
+        raise ValueError("an empty period names no folder")
     if exists(spark, path):
         have, new = ({f.name: f.dataType for f in x.schema if f.name != column} for x in (spark.read.parquet(path), df))
         if have and have != new:
             raise ValueError(f"schema differs from the table's: {new} against {have}")
     path = path.rstrip("/")
-    name, fs, at = F.col(column).cast("string"), *_fs(spark, path)
-    df.write.mode("overwrite").parquet(f"{path}.batch")
+    fs, at = _fs(spark, path)
     try:
-        batch = spark.read.schema(df.schema).parquet(f"{path}.batch")
-        filled = {r[0] for r in batch.select(name).distinct().limit(len(asked) + 1).collect()}
-        if filled - asked:
-            stray = batch.filter(~F.coalesce(name.isin(*asked), F.lit(False))).first()
+        df.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column).parquet(f"{path}.batch")
+        filled = _folders(spark, f"{path}.batch", column)
+        if filled.keys() - asked:
+            batch = spark.read.schema(df.schema).parquet(f"{path}.batch")
+            stray = batch.filter(~F.coalesce(F.col(column).cast("string").isin(*asked), F.lit(False))).first()
             raise ValueError(f"a row lies outside the replaced periods: {stray.asDict()}")
-        batch.hint("rebalance", F.col(column)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+        fs.mkdirs(at)
+        for own in filled.values():
+            _moved(fs, own, _fs(spark, f"{path}/{own.getName()}")[1])
     finally:
         fs.delete(_fs(spark, f"{path}.batch")[1], True)
-    for status in fs.listStatus(at):
-        key, _, value = status.getPath().getName().partition("=")
-        if key == column and unquote(value) in asked - filled:
-            fs.delete(status.getPath(), True)
+    for value, own in _folders(spark, path, column).items():
+        if value in asked - filled.keys():
+            fs.delete(own, True)
 
 
 def upsert_actions(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -119,9 +141,10 @@ def upserted(spark: SparkSession, path: str) -> DataFrame:
     return rows.drop(bucket) if bucket else rows
 
 
-def _applied(spark: SparkSession, path: str) -> dict[str, int]:
+def _applied(spark: SparkSession, path: str, schema=None) -> dict[str, int]:
     """Replace those buckets of a table whose staged rows have a change, then forget the stage."""
-    staged = spark.read.parquet(f"{path}.staged")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    staged = reader.parquet(f"{path}.staged")
     bucket = _bucket_column(staged)
     counted = staged.groupBy(bucket, "action").count().collect()  # three a bucket at most
     changed = sorted({r[bucket] for r in counted if r["action"] != "keep"})
@@ -137,7 +160,8 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKET
 
     The table is partitioned by a hash of the key, in ``buckets`` when it is made. Only the buckets of the batch's keys are
     read, merged once into a stage beside the table, and only those with an insert or update are replaced; files of others
-    stay as they are. The batch is written beside the table first, so that costly rows are made once. A stage that is whole is applied again by the next call if a run ended before it was forgotten. A key
+    stay as they are. The batch is written beside the table first, by bucket, so that costly rows are made once; a new table is
+    that batch, moved into its place. A stage that is whole is applied again by the next call if a run ended before it was forgotten. A key
     that the batch holds twice raises. Read the table by ``upserted``.
     """
     spark, path = new.sparkSession, path.rstrip("/")
@@ -153,27 +177,36 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKET
         n, kinds = int(bucket.removeprefix(BUCKET)), dict(table.dtypes)
         new = new.withColumns({k: F.col(k).cast(kinds[k]) for k in keys})
     bucket = f"{BUCKET}{n}"
-    _bucketed(new, keys, n).write.mode("overwrite").parquet(f"{path}.batch")  # what the batch is made from is read once
-    batch = spark.read.parquet(f"{path}.batch")
+    new = _bucketed(new, keys, n)
     try:
-        repeated = batch.groupBy(*keys).count().filter("count > 1").limit(3).collect()
-        if repeated:
+        new.hint("rebalance", F.col(bucket)).write.mode("overwrite").partitionBy(bucket).parquet(f"{path}.batch")  # what the batch is made from is read once
+        batch = spark.read.schema(new.schema).parquet(f"{path}.batch")
+        counted = batch.groupBy(*keys).count()
+        total = counted.agg(F.sum("count").alias("rows"), F.count_if(F.col("count") > 1).alias("repeated")).first()
+        if total["repeated"]:
+            repeated = counted.filter("count > 1").limit(3).collect()
             raise ValueError(f"keys repeated in the batch: {[r.asDict() for r in repeated]}")
-        met = sorted(r[0] for r in batch.select(bucket).distinct().collect())  # as many as there are buckets
+        met = sorted(int(b) for b in _folders(spark, f"{path}.batch", bucket))  # as many as there are buckets
         if table is None:
             if not met:
                 raise ValueError("a table can't be created from an empty batch")
-            batch.hint("rebalance", F.col(bucket)).write.partitionBy(bucket).parquet(path)
-            return {"insert": batch.count(), "update": 0}
+            _moved(fs, _fs(spark, f"{path}.batch")[1], _fs(spark, path)[1])
+            return {"insert": total["rows"], "update": 0}
         if not met:
             return {"insert": 0, "update": 0}
-        merged = upsert_actions(table.filter(F.col(bucket).isin(met)).drop(bucket), batch.drop(bucket), keys)
-        _bucketed(merged, keys, n).hint("rebalance", F.col(bucket)).write.partitionBy(bucket).parquet(f"{path}.staged")
-        return _applied(spark, path)
+        merged = _bucketed(upsert_actions(table.filter(F.col(bucket).isin(met)).drop(bucket), batch.drop(bucket), keys), keys, n)
+        merged.hint("rebalance", F.col(bucket)).write.partitionBy(bucket).parquet(f"{path}.staged")
+        return _applied(spark, path, merged.schema)
     finally:
         _fs(spark, path)[0].delete(_fs(spark, f"{path}.batch")[1], True)
 
 
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """Rows written once, for all their readers; the next run's take their place."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def snapshot(df: DataFrame, path: str) -> dict[str, int]:
     """One file of a small, finished table, and its rows and bytes."""
     df.coalesce(1).write.mode("overwrite").parquet(path)
@@ -219,6 +252,4 @@ class Store:
         return exists(self.spark, self.path(layer, table))
 
     def kept(self, layer: str, table: str, rows: DataFrame) -> DataFrame:
-        """Rows of a step written once, for all its readers; the next run's take their place."""
-        rows.write.mode("overwrite").parquet(self.path(layer, table))
-        return self.spark.read.schema(rows.schema).parquet(self.path(layer, table))
+        return kept(rows, self.path(layer, table))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import gates, index, kept_index
 from plumbline.plans import layers
-from plumbline.sources import sinks
+from plumbline.sources import landing, sinks
 
 SPEC = layers.FeedSpec(outlet=("name", "address"), outlet_attributes=("chain",), item=("sku",), item_attributes=("category",), price="price", words={"Vi?a": "Viña"}, excluded=("skip",))
 COLUMNS = "name string, address string, chain string, sku string, category string, price string"
@@ -132,3 +132,41 @@ def test_upsert_makes_its_batch_once(spark, tmp_path):
         sinks.upsert(spark.createDataFrame([(1, 1), (1, 2)], "id long, v long"), path, ["id"])
     assert sinks.upsert(spark.createDataFrame([(1, 1), (11, 2)], "id long, v long"), path, ["id"]) == {"insert": 1, "update": 1}
     assert sorted(p.name for p in tmp_path.iterdir()) == ["t"] and sinks.upserted(spark, path).count() == 11
+
+
+def jobs(spark, group, run):
+    """What ``run`` gives, and how many jobs the driver planned for it."""
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        out = run()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_sinks_leave_few_jobs_on_the_driver(spark, tmp_path):
+    """A session's driver keeps each job's plan and state, so a load, a replacement and a landing take few."""
+    new = spark.range(1000).withColumn("v", F.col("id") * 2)
+    told, n = jobs(spark, "load", lambda: sinks.upsert(new, str(tmp_path / "t"), ["id"], 8))
+    assert told == {"insert": 1000, "update": 0} and n <= 5
+    _, n = jobs(spark, "replace", lambda: sinks.replace_periods(new.withColumn("ord", F.col("id") % 9), str(tmp_path / "p"), "ord", range(9)))
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 1000 and n <= 2
+    path, entry = land(spark, tmp_path, "2024-01_q1", 1, [row("A", "10"), row("B", "12")])
+    manifest = spark.createDataFrame([entry], "file string, period string, attempt long, sha256 string, rows long")
+    rows, n = jobs(spark, "landing", lambda: landing.parquet_landing(spark, [path], manifest))
+    assert rows.filter("_period = '2024-01_q1'").count() == 2 and n <= 6
+
+
+def test_period_replacement_by_odd_names(spark, tmp_path):
+    """Folders are found by the text they stand for; a row without a period is refused and leaves the table as it was."""
+    path, read = str(tmp_path / "t"), lambda: {(r.ord, r.x) for r in spark.read.parquet(str(tmp_path / "t")).collect()}
+    names = ["a/b: c", "100%", "ñ=1"]
+    sinks.replace_periods(spark.createDataFrame([(n, i) for i, n in enumerate(names)], "ord string, x int"), path, "ord", names)
+    sinks.replace_periods(spark.createDataFrame([(names[0], 7)], "ord string, x int"), path, "ord", names[:2])
+    assert read() == {(names[0], 7), (names[2], 2)}
+    with pytest.raises(ValueError, match="outside"):
+        sinks.replace_periods(spark.createDataFrame([(names[0], 8), (None, 9)], "ord string, x int"), path, "ord", names)
+    with pytest.raises(ValueError, match="empty"):
+        sinks.replace_periods(spark.createDataFrame([(names[0], 8)], "ord string, x int"), path, "ord", ["", names[0]])
+    assert read() == {(names[0], 7), (names[2], 2)} and [p.name for p in tmp_path.iterdir()] == ["t"]
